@@ -58,51 +58,38 @@ def facet_counts(
     df: DataFrame,
     keys: Keys,
     facets: dict[str, Column],
-    arrays: dict[str, Column] | None = None,
+    array: tuple[str, Column] | None = None,
     weight: Column | None = None,
     additive: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Counts per key and facet value for several facets in one pass over ``df``.
 
-    Gives rows (keys, facet, value, n, additive...).  ``facets`` are scalar columns,
-    ``arrays`` count once per element.  ``weight`` is the row's count (default 1).  The
-    ``additive`` sums ride on the first scalar facet only, so that summing them over all
-    facets of a key gives the key's total.  Rows are combined before the shuffle.
+    Gives rows (keys, facet, value, n, additive...).  ``facets`` are scalar columns; the
+    elements of ``array`` count once each.  ``weight`` is the row's count (default 1).  The
+    ``additive`` sums ride on the first facet only, so that summing them over all facets of
+    a key gives the key's total.  Rows are combined before the shuffle.
     """
     keys = _list(keys)
     additive = additive or {}
-    n = F.lit(1).cast("long") if weight is None else weight
-    base = df.select(
+    scalars = F.array(*[value.cast("string") for value in facets.values()])
+    names = list(facets)
+    values = scalars
+    if array is not None:
+        names.append(array[0])
+        values = F.concat(scalars, F.coalesce(array[1], F.array().cast("array<string>")))
+    rows = df.select(
         *keys,
-        n.alias("n"),
-        *[c.cast("string").alias(f"_facet_{k}") for k, c in facets.items()],
-        *[c.alias(f"_array_{k}") for k, c in (arrays or {}).items()],
-        *[c.alias(k) for k, c in additive.items()],
+        (F.lit(1).cast("long") if weight is None else weight).alias("n"),
+        *[value.alias(name) for name, value in additive.items()],
+        F.posexplode(values).alias("_at", "value"),
     )
-    types = {name: base.schema[name].dataType for name in additive}
-
-    def entry(kind: str, value: Column, carries: bool) -> Column:
-        sums = [
-            (F.col(a) if carries else F.lit(None).cast(types[a])).alias(a) for a in additive
-        ]
-        return F.struct(
-            F.lit(kind).alias("facet"), value.alias("value"), F.col("n").alias("n"), *sums
-        )
-
-    def each_element(elements: Column, kind: str) -> Column:
-        return F.transform(elements, lambda v: entry(kind, v, False))
-
-    entries = F.array(
-        *[entry(kind, F.col(f"_facet_{kind}"), i == 0) for i, kind in enumerate(facets)]
-    )
-    for kind in arrays or {}:
-        elements = F.coalesce(F.col(f"_array_{kind}"), F.array().cast("array<string>"))
-        entries = F.concat(entries, each_element(elements, kind))
-    return (
-        base.select(*keys, F.inline(entries))
-        .groupBy(*keys, "facet", "value")
-        .agg(F.sum("n").alias("n"), *[F.sum(a).alias(a) for a in additive])
+    # Positions past the scalar facets are the array's elements.
+    counted = rows.groupBy(*keys, F.least("_at", F.lit(len(names) - 1)).alias("_at"), "value").agg(
+        F.sum("n").alias("n"),
+        *[F.sum(F.when(F.col("_at") == 0, F.col(name))).alias(name) for name in additive],
     )
+    label = F.element_at(F.array(*[F.lit(name) for name in names]), F.col("_at") + 1)
+    return counted.select(*keys, label.alias("facet"), "value", "n", *additive)
 
 
 def of_facet(kind: str) -> Column:

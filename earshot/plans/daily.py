@@ -143,7 +143,7 @@ def taste_facets(
         joined,
         keys,
         {"artist": F.col("artist_id")},
-        {"genre": F.col("genres")},
+        ("genre", F.col("genres")),
         F.col(count),
         {name: F.col(name) for name in additive},
     )
@@ -424,7 +424,7 @@ def user_daily_full(
         joined,
         keys,
         {"artist": F.col("artist_id")},
-        {"genre": F.col("genres")},
+        ("genre", F.col("genres")),
         F.col("total_tracks"),
         {c: F.col(c) for c in additive},
     )

@@ -64,8 +64,8 @@ def _user_daily(c: Canonical) -> DataFrame:
     return daily.user_daily_metrics(c.plays, c.tracks, c.artists, c.albums, START, END)
 
 
-def _decoded(c: Canonical) -> DataFrame:
-    return decode.decode_events(c.event_values)
+def _decoded(c: Canonical, *fields: str) -> DataFrame:
+    return decode.decode_events(c.event_values, *fields)
 
 
 def _lookup(c: Canonical) -> DataFrame:
@@ -131,7 +131,7 @@ def _incremental(c: Canonical) -> DataFrame:
 
 def _upsert_counters(c: Canonical) -> DataFrame:
     """Counters of the first half of January plus the deltas of the second half."""
-    events = _decoded(c)
+    events = _decoded(c, "event_type", "timestamp", "song_id", "search_query", "error_type")
     middle = F.lit("2024-01-16").cast("timestamp")
     stored = ingest.counter_deltas(events.where(F.col("event_ts") < middle)).withColumn(
         "last_updated", F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
@@ -268,17 +268,19 @@ def _run(c: Canonical, name: str, stream: DataFrame, mode: str) -> DataFrame:
 
 
 def _stream_running_totals(c: Canonical) -> DataFrame:
-    totals = metrics.running_totals(decode.decode_events(_feed(c)))
+    events = decode.decode_events(_feed(c), "event_type", "user_id", "song_id")
+    totals = metrics.running_totals(events)
     return _run(c, "running-totals", totals, "complete")
 
 
 def _stream_platforms(c: Canonical) -> DataFrame:
-    counts = metrics.events_by_platform(decode.decode_events(_feed(c)))
+    events = decode.decode_events(_feed(c), "event_type", "platform")
+    counts = metrics.events_by_platform(events)
     return _run(c, "platforms", counts, "complete")
 
 
 def _stream_route_counts(c: Canonical) -> DataFrame:
-    counts = decode.route_counts(decode.decode_events(_feed(c)))
+    counts = decode.route_counts(decode.decode_events(_feed(c), "event_type", "timestamp"))
     return _run(c, "route-counts", counts, "complete")
 
 
@@ -408,13 +410,21 @@ _QUERIES: dict[str, Callable[[Canonical], DataFrame]] = {
     "generate_analytics": _generate_analytics,
     "snapshot_scd2": _snapshot,
     # event feed
-    "events_by_platform": lambda c: metrics.events_by_platform(_decoded(c)),
-    "search_counts": lambda c: metrics.search_counts(_decoded(c)),
+    "events_by_platform": lambda c: metrics.events_by_platform(
+        _decoded(c, "event_type", "platform")
+    ),
+    "search_counts": lambda c: metrics.search_counts(
+        _decoded(c, "event_type", "search_query")
+    ),
     "search_terms_top": lambda c: features.search_terms_top(
         decode.project_search(_decoded(c)), 5
     ),
-    "errors_by_type": lambda c: metrics.errors_by_type(_decoded(c)),
-    "running_totals": lambda c: metrics.running_totals(_decoded(c)),
+    "errors_by_type": lambda c: metrics.errors_by_type(
+        _decoded(c, "event_type", "error_type")
+    ),
+    "running_totals": lambda c: metrics.running_totals(
+        _decoded(c, "event_type", "user_id", "song_id")
+    ),
     "auth_failure_rate": lambda c: features.auth_failure_rate(decode.project_auth(_decoded(c))),
     "playlist_action_counts": lambda c: features.playlist_action_counts(
         decode.project_playlist(_decoded(c))

@@ -6,45 +6,57 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from earshot.functions.measures import with_default
 from earshot.functions.text import as_json, normalize_query
 from earshot.functions.time import parse_iso
 from earshot.operators.filters import of_type
-from earshot.schemas import EVENT
+from earshot.schemas import EVENT, struct_of
 
 # The event types of the feed.
 EVENT_TYPES = ["song_play", "auth", "search", "playlist", "error"]
 
 
-def decode_events(feed: DataFrame, default_ts: Column | None = None) -> DataFrame:
+def decode_events(
+    feed: DataFrame, *fields: str, default_ts: Column | None = None
+) -> DataFrame:
     """Parse ``value`` with the union schema; ``raw_data`` keeps the original text.
 
-    ``is_readable`` is false for undecodable text; those rows have only null fields.
+    Undecodable text gives a row of nulls.  Naming ``fields`` parses only those; the metrics
+    need a few.  The parsed struct is unfolded by a generator because a filter on a field
+    would otherwise be pushed below the projection and parse the text a second time.
     """
-    parsed = F.from_json("value", f"{EVENT}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
-    decoded = feed.select(F.col("value").alias("raw_data"), parsed.alias("e"))
-    return decoded.select(
-        "e.*",
-        parse_iso(F.col("e.timestamp"), default_ts).alias("event_ts"),
-        "raw_data",
-        (F.col("e").isNotNull() & F.col("e._corrupt").isNull()).alias("is_readable"),
-    ).drop("timestamp", "_corrupt")
+    schema = struct_of(EVENT)
+    if fields:
+        schema = T.StructType([f for f in schema if f.name in fields])
+    parsed = feed.select(
+        F.col("value").alias("raw_data"), F.inline(F.array(F.from_json("value", schema)))
+    )
+    if "timestamp" not in parsed.columns:
+        return parsed
+    return parsed.withColumn("event_ts", parse_iso(F.col("timestamp"), default_ts)).drop(
+        "timestamp"
+    )
+
+
+def is_known() -> Column:
+    return F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False))
 
 
 def quarantine(events: DataFrame) -> DataFrame:
     """Undecodable text, unknown event types and events without a readable time."""
-    known = F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False))
+    undecodable = ~is_known() & F.get_json_object("raw_data", "$").isNull()
     reason = (
-        F.when(~F.col("is_readable"), "undecodable")
-        .when(~known, "unknown event type")
+        F.when(undecodable, "undecodable")
+        .when(~is_known(), "unknown event type")
         .when(F.col("event_ts").isNull(), "unreadable timestamp")
     )
     return events.select("raw_data", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def accepted(events: DataFrame, event_type: str) -> DataFrame:
-    return of_type(events, event_type).where(F.col("is_readable") & F.col("event_ts").isNotNull())
+    return of_type(events, event_type).where(F.col("event_ts").isNotNull())
 
 
 def platform() -> Column:
@@ -147,15 +159,11 @@ def route(events: DataFrame) -> dict[str, DataFrame]:
 
 def route_counts(events: DataFrame) -> DataFrame:
     """Rows per target table, in one pass."""
-    reason = (
-        ~F.col("is_readable")
-        | ~F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False))
-        | F.col("event_ts").isNull()
-    )
     table = reduce(
         lambda rest, kind: F.when(F.col("event_type") == kind, TABLES[kind]).otherwise(rest),
         EVENT_TYPES,
         F.lit("quarantine"),
     )
-    target = F.when(reason, "quarantine").otherwise(table).alias("table_name")
+    placed = is_known() & F.col("event_ts").isNotNull()
+    target = F.when(placed, table).otherwise("quarantine").alias("table_name")
     return events.groupBy(target).agg(F.count(F.lit(1)).alias("rows"))

@@ -44,7 +44,7 @@ def running_totals(events: DataFrame) -> DataFrame:
     Exact: duplicates of a member are dropped first, then the members are counted.
     """
     plays = of_type(events, "song_play").select(
-        F.lit("song_plays_count").alias("metric"), F.col("raw_data").alias("member")
+        F.lit("song_plays_count").alias("metric"), F.lit(None).cast("string").alias("member")
     )
     members = metric_members(events).dropDuplicates(["metric", "member"])
     return count_by(plays.unionByName(members), "metric", "value")
