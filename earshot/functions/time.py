@@ -107,6 +107,9 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def parse_iso(text: Column, default_ts: Column | None = None) -> Column:
-    """ISO-8601 text, with or without ``Z``; null (or the default) when unreadable."""
-    parsed = F.try_to_timestamp(text)
+    """ISO-8601 text, with or without ``Z``; null (or the default) when unreadable.
+
+    The leading date is required because Spark also reads words like ``now`` as timestamps.
+    """
+    parsed = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
     return parsed if default_ts is None else F.coalesce(parsed, default_ts)

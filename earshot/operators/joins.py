@@ -55,7 +55,9 @@ def salted_join(
     unmatched = F.lit(False)
     for key in keys:
         unmatched = unmatched | F.col(key).isNull()
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(SALTS)).cast("int")
+    # Maps have no hash; the other columns are enough to spread the rows.
+    hashable = [f.name for f in fact.schema if "map<" not in f.dataType.simpleString()]
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(SALTS)).cast("int")
     spread = (
         fact.join(F.broadcast(flagged), keys, "left")
         .withColumn("_salt", F.when(F.col("_hot") | unmatched, salt).otherwise(0))

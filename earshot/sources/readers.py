@@ -86,6 +86,7 @@ def table_counts(spark: SparkSession, schemas: list[str]) -> DataFrame:
         for schema in schemas
         if spark.catalog.databaseExists(schema)
         for table in spark.catalog.listTables(schema)
+        if not table.isTemporary
     }
     if not frames:
         return spark.createDataFrame([], "table_name string, record_count long")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from earshot.operators.changes import dedupe_first
+from earshot.sinks.writers import write_partitioned
 from earshot.streaming.decode import TABLES, decode_events, route
 
 WATERMARK = "1 hour"
@@ -50,7 +51,7 @@ def write_event_batch(base_path: str) -> Callable[[DataFrame, int], None]:
                 path = f"{base_path}/{TABLES.get(kind, kind)}"
                 if kind == "quarantine":
                     stamped = rows.withColumn("batch_id", F.lit(batch_id))
-                    _replace(stamped, path, ["batch_id"])
+                    write_partitioned(stamped, path, ["batch_id"])
                     continue
                 key = rows.columns[0]
                 fresh = dedupe_first(rows, [key], F.col("timestamp")).withColumn(
@@ -60,22 +61,15 @@ def write_event_batch(base_path: str) -> Callable[[DataFrame, int], None]:
                 stored = _stored_keys(batch.sparkSession, path, key, days, batch_id)
                 if stored is not None:
                     fresh = fresh.join(stored, key, "left_anti")
-                _replace(fresh.withColumn("batch_id", F.lit(batch_id)), path, ["date", "batch_id"])
+                write_partitioned(
+                    fresh.withColumn("batch_id", F.lit(batch_id)), path, ["date", "batch_id"]
+                )
         finally:
             batch.unpersist()
 
     return write
 
 
-def _replace(rows: DataFrame, path: str, by: list[str]) -> None:
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
-
-
 def start_ingest(
     feed: DataFrame, base_path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -108,14 +102,8 @@ def write_counter_batch(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function storing one batch's deltas; a repeated batch replaces them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            counter_deltas(batch)
-            .withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        deltas = counter_deltas(batch).withColumn("batch_id", F.lit(batch_id))
+        write_partitioned(deltas, path, ["batch_id"])
 
     return write
 
