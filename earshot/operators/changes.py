@@ -96,7 +96,7 @@ def snapshot_scd2(history: DataFrame, current: DataFrame, key: str, ts: Column)
     the open version).  Keys missing from ``current`` are left open.
     """
     latest = current.select(key, F.col("row_hash").alias("_hash"))
-    known = dim_join(history, latest, key, "left")
+    known = dim_join(history, latest, key, "left", per_key=True)
     is_changed = F.col("valid_to").isNull() & (F.col("_hash") != F.col("row_hash"))
     closed = known.withColumn(
         "valid_to", F.when(is_changed, ts).otherwise(F.col("valid_to"))

@@ -7,6 +7,8 @@ over ``SALTS`` sub-keys so that one key holding much of the fact does not land i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,36 +80,56 @@ def salted_join(
     return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+Hot = Callable[[], DataFrame]
+
+
 def dim_join(
     fact: DataFrame,
     dim: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    hot: DataFrame | None = None,
+    hot: Hot | None = None,
+    per_key: bool = False,
 ) -> DataFrame:
-    """Join a fact to a dimension: broadcast if its size is checked, salted shuffle otherwise."""
+    """Join a fact to a dimension: broadcast if its size is checked, salted shuffle otherwise.
+
+    ``hot`` finds the hot keys from an earlier, cheaper frame than ``fact``; it is called
+    only when they are needed.  ``per_key`` says that the fact is already aggregated to the
+    key (one row, or one per day or hour), so that there is nothing to spread.
+    """
     if broadcastable(dim):
         return fact.join(F.broadcast(dim), on, how)
-    return salted_join(fact, dim, on, how, hot)
+    if per_key:
+        return fact.join(dim, on, how)
+    return salted_join(fact, dim, on, how, hot() if hot else None)
 
 
-def join_tracks(
-    rows: DataFrame, tracks: DataFrame, *columns: str, how: str = "inner", hot=None
-) -> DataFrame:
+def hot_through_tracks(plays: DataFrame, tracks: DataFrame, column: str) -> DataFrame:
+    """Hot artists or albums of the plays; plays are counted per track before the join."""
+    per_track = plays.groupBy("track_id").agg(F.count(F.lit(1)).alias("_plays"))
+    return (
+        dim_join(per_track, tracks.select("track_id", column), "track_id", per_key=True)
+        .groupBy(column)
+        .agg(F.sum("_plays").alias("_plays"))
+        .orderBy(F.desc("_plays"), column)
+        .limit(HOT_KEYS)
+        .select(column)
+    )
+
+
+def join_tracks(rows: DataFrame, tracks: DataFrame, *columns: str, **how) -> DataFrame:
     """Add attributes of each row's track; ``name`` arrives as ``track_name``."""
-    return dim_join(rows, _attributes(tracks, "track", columns), "track_id", how, hot)
+    return dim_join(rows, _attributes(tracks, "track", columns), "track_id", **how)
 
 
-def join_artists(
-    rows: DataFrame, artists: DataFrame, *columns: str, how: str = "inner"
-) -> DataFrame:
+def join_artists(rows: DataFrame, artists: DataFrame, *columns: str, **how) -> DataFrame:
     """Add attributes of each row's artist; ``name`` arrives as ``artist_name``."""
-    return dim_join(rows, _attributes(artists, "artist", columns), "artist_id", how)
+    return dim_join(rows, _attributes(artists, "artist", columns), "artist_id", **how)
 
 
-def join_albums(rows: DataFrame, albums: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
+def join_albums(rows: DataFrame, albums: DataFrame, *columns: str, **how) -> DataFrame:
     """Add attributes of each row's album; ``name`` arrives as ``album_name``."""
-    return dim_join(rows, _attributes(albums, "album", columns), "album_id", how)
+    return dim_join(rows, _attributes(albums, "album", columns), "album_id", **how)
 
 
 def _attributes(dim: DataFrame, entity: str, columns: tuple[str, ...]) -> DataFrame:
@@ -126,7 +148,9 @@ def track_catalog(
     )
     catalog = join_artists(picked, artists, "name", how=how)
     if albums is not None:
-        catalog = join_albums(catalog, albums, "name", how=how)
+        catalog = join_albums(
+            catalog, albums, "name", how=how, hot=lambda: hot_keys(tracks, "album_id")
+        )
     return catalog
 
 
@@ -138,8 +162,14 @@ def enrich_plays(
     Each dimension is joined to the plays on its own, so each has its own size check.
     """
     joined = join_tracks(plays, tracks, "name", "artist_id", "album_id", "duration_ms")
-    joined = join_artists(joined, artists, "name")
-    return joined if albums is None else join_albums(joined, albums, "name")
+    joined = join_artists(
+        joined, artists, "name", hot=lambda: hot_through_tracks(plays, tracks, "artist_id")
+    )
+    if albums is None:
+        return joined
+    return join_albums(
+        joined, albums, "name", hot=lambda: hot_through_tracks(plays, tracks, "album_id")
+    )
 
 
 # Attributes of a play whose track is not in the catalogue.
@@ -164,8 +194,20 @@ def lookup_with_default(
     joined = join_tracks(
         plays, tracks, "name", "artist_id", "album_id", "duration_ms", "popularity", how="left"
     )
-    joined = join_artists(joined, artists, "name", how="left")
-    joined = join_albums(joined, albums, "name", how="left")
+    joined = join_artists(
+        joined,
+        artists,
+        "name",
+        how="left",
+        hot=lambda: hot_through_tracks(plays, tracks, "artist_id"),
+    )
+    joined = join_albums(
+        joined,
+        albums,
+        "name",
+        how="left",
+        hot=lambda: hot_through_tracks(plays, tracks, "album_id"),
+    )
     filled = joined.select(
         *plays.columns,
         *[

@@ -20,8 +20,8 @@ from earshot.operators.grouping import (
     top_n_string,
 )
 from earshot.operators.joins import (
-    broadcastable,
     hot_keys,
+    hot_through_tracks,
     join_albums,
     join_artists,
     join_tracks,
@@ -127,18 +127,23 @@ def taste_facets(
     keys: list[str],
     count: str,
     additive: list[str],
-    plays: DataFrame | None = None,
+    plays: DataFrame,
 ) -> DataFrame:
     """Facets ``artist`` and ``genre`` of rows already aggregated to keys and track.
 
     A play counts once for each genre of its artist.  ``plays`` serves to find hot tracks
     when the tracks are too large to broadcast.
     """
-    hot = None
-    if plays is not None and not broadcastable(tracks):
-        hot = hot_keys(plays, "track_id")
-    joined = join_tracks(per_track, tracks, "artist_id", how="left", hot=hot)
-    joined = join_artists(joined, artists, "genres", how="left")
+    joined = join_tracks(
+        per_track, tracks, "artist_id", how="left", hot=lambda: hot_keys(plays, "track_id")
+    )
+    joined = join_artists(
+        joined,
+        artists,
+        "genres",
+        how="left",
+        hot=lambda: hot_through_tracks(plays, tracks, "artist_id"),
+    )
     return facet_counts(
         joined,
         keys,
@@ -286,8 +291,11 @@ def song_daily_metrics(
         .groupBy(*keys)
         .agg(F.count("user_id").alias("unique_listeners"))
     )
-    named = join_tracks(totals.join(listeners, keys), tracks, "name", "artist_id", "album_id")
-    named = join_albums(join_artists(named, artists, "name"), albums, "name")
+    named = join_tracks(
+        totals.join(listeners, keys), tracks, "name", "artist_id", "album_id", per_key=True
+    )
+    named = join_artists(named, artists, "name", hot=lambda: hot_keys(tracks, "artist_id"))
+    named = join_albums(named, albums, "name", hot=lambda: hot_keys(tracks, "album_id"))
     return named.select(
         F.col("track_id").alias("song_id"),
         "date",
@@ -323,11 +331,18 @@ def user_daily_metrics(
             F.coalesce(F.sum("ms_played"), F.lit(0)).alias("total_listening_time"),
         )
     )
+    scoped = _plays_between(plays, start, end)
+    named = join_tracks(
+        per_track, tracks, "artist_id", "album_id", hot=lambda: hot_keys(scoped, "track_id")
+    )
     named = join_artists(
-        join_tracks(per_track, tracks, "artist_id", "album_id"), artists, "name"
+        named, artists, "name", hot=lambda: hot_through_tracks(scoped, tracks, "artist_id")
+    )
+    named = join_albums(
+        named, albums, hot=lambda: hot_through_tracks(scoped, tracks, "album_id")
     )
     facets = facet_counts(
-        join_albums(named, albums),
+        named,
         keys,
         {
             "platform": F.col("platform"),
@@ -419,7 +434,12 @@ def user_daily_full(
         F.sum(F.coalesce(completion, F.lit(0.0))).alias("completion"),
     )
     additive = [c for c in per_artist.columns if c not in (*keys, "artist_id")]
-    joined = join_artists(per_artist, artists, "genres")
+    joined = join_artists(
+        per_artist,
+        artists,
+        "genres",
+        hot=lambda: hot_through_tracks(plays, tracks, "artist_id"),
+    )
     facets = facet_counts(
         joined,
         keys,
@@ -470,7 +490,8 @@ def track_daily_full(
         count_where(~weekend).alias("weekday_streams"),
         count_where(weekend).alias("weekend_streams"),
     )
-    named = join_artists(join_tracks(daily, tracks, "name", "artist_id"), artists, "name")
+    named = join_tracks(daily, tracks, "name", "artist_id", per_key=True)
+    named = join_artists(named, artists, "name", hot=lambda: hot_keys(tracks, "artist_id"))
     return named.select(
         *keys,
         "track_name",

@@ -11,7 +11,14 @@ from earshot.functions import measures as m
 from earshot.functions import time as t
 from earshot.operators.changes import insert_new
 from earshot.operators.filters import on_date
-from earshot.operators.joins import dim_join, join_albums, join_artists, join_tracks
+from earshot.operators.joins import (
+    dim_join,
+    hot_keys,
+    hot_through_tracks,
+    join_albums,
+    join_artists,
+    join_tracks,
+)
 
 Day = str | dt.date
 
@@ -20,9 +27,18 @@ def extract_history(
     plays: DataFrame, tracks: DataFrame, artists: DataFrame, day: Day
 ) -> DataFrame:
     """One day's plays with track and artist attributes, in time order."""
-    rows = plays.where(on_date(F.col("played_at"), day))
-    rows = join_tracks(rows, tracks, "name", "artist_id", "duration_ms", "explicit", "popularity")
-    rows = join_artists(rows, artists, "name", "genres", "popularity")
+    scoped = plays.where(on_date(F.col("played_at"), day))
+    rows = join_tracks(
+        scoped, tracks, "name", "artist_id", "duration_ms", "explicit", "popularity"
+    )
+    rows = join_artists(
+        rows,
+        artists,
+        "name",
+        "genres",
+        "popularity",
+        hot=lambda: hot_through_tracks(scoped, tracks, "artist_id"),
+    )
     return rows.select(
         "event_id",
         "user_id",
@@ -45,7 +61,14 @@ def extract_tracks(tracks: DataFrame, artists: DataFrame, albums: DataFrame) ->
     """Track catalogue with artist and album attributes."""
     rows = tracks.withColumnRenamed("name", "track_name")
     rows = join_artists(rows, artists, "name", "genres", "popularity")
-    rows = join_albums(rows, albums, "name", "total_tracks", "album_type")
+    rows = join_albums(
+        rows,
+        albums,
+        "name",
+        "total_tracks",
+        "album_type",
+        hot=lambda: hot_keys(tracks, "album_id"),
+    )
     return rows.select(
         "track_id",
         "track_name",
@@ -110,7 +133,12 @@ def processed_history(
     """Raw plays with artist, album, completion, weekday (Sunday 0), hour and user attributes."""
     ts = F.col("played_at")
     rows = join_tracks(plays.drop("country"), tracks, "artist_id", "album_id", "duration_ms")
-    rows = dim_join(rows, users.select("user_id", "country", "subscription_type"), "user_id")
+    rows = dim_join(
+        rows,
+        users.select("user_id", "country", "subscription_type"),
+        "user_id",
+        hot=lambda: hot_keys(plays, "user_id"),
+    )
     return rows.select(
         F.col("event_id").alias("id"),
         "user_id",

@@ -27,6 +27,8 @@ from earshot.operators.grouping import (
 )
 from earshot.operators.joins import (
     dim_join,
+    hot_keys,
+    hot_through_tracks,
     join_albums,
     join_artists,
     join_tracks,
@@ -64,6 +66,7 @@ def artist_popularity(
         tracks,
         "name",
         "artist_id",
+        per_key=True,
     )
     totals = per_track.groupBy("artist_id").agg(
         F.sum("total_plays").alias("total_plays"),
@@ -79,7 +82,8 @@ def artist_popularity(
         .agg(F.count_distinct("user_id").alias("unique_listeners"))
     )
     growth = m.growth_percent(F.col("recent"), F.col("previous"))
-    return join_artists(totals.join(listeners, "artist_id"), artists, "name").select(
+    merged = totals.join(listeners, "artist_id")
+    return join_artists(merged, artists, "name", per_key=True).select(
         "artist_id",
         "artist_name",
         "total_plays",
@@ -113,8 +117,10 @@ def track_popularity(
         F.avg(m.is_true(F.col("skipped")).cast("double")).alias("skip_rate"),
         F.avg("ms_played").alias("avg_ms"),
     )
-    named = join_tracks(per_track, tracks, "name", "artist_id", "duration_ms")
-    named = join_artists(named, artists, "name").withColumn(
+    named = join_tracks(per_track, tracks, "name", "artist_id", "duration_ms", per_key=True)
+    named = join_artists(
+        named, artists, "name", hot=lambda: hot_keys(tracks, "artist_id")
+    ).withColumn(
         "avg_completion_rate",
         F.coalesce(m.completion_raw(F.col("avg_ms"), F.col("duration_ms")), F.lit(0.0)),
     )
@@ -228,8 +234,11 @@ def top_tracks_weekly(
         )
         .where(F.col("play_count") > 0)
     )
-    named = join_tracks(per_track, tracks, "name", "artist_id", "album_id", "duration_ms")
-    named = join_albums(join_artists(named, artists, "name"), albums, "name")
+    named = join_tracks(
+        per_track, tracks, "name", "artist_id", "album_id", "duration_ms", per_key=True
+    )
+    named = join_artists(named, artists, "name", hot=lambda: hot_keys(tracks, "artist_id"))
+    named = join_albums(named, albums, "name", hot=lambda: hot_keys(tracks, "album_id"))
     completion = m.completion_raw(F.col("avg_ms"), F.col("duration_ms"))
     scored = named.withColumns(
         {
@@ -263,7 +272,12 @@ def genre_preferences(
     """Plays per user and genre; plays are counted per artist before genres are unfolded."""
     recent = history.where(since(F.col("played_at"), as_of, window_days))
     per_track = recent.groupBy("user_id", "track_id").agg(F.count(F.lit(1)).alias("n"))
-    tagged = join_artists(join_tracks(per_track, tracks, "artist_id"), artists, "genres")
+    tagged = join_tracks(
+        per_track, tracks, "artist_id", hot=lambda: hot_keys(recent, "track_id")
+    )
+    tagged = join_artists(
+        tagged, artists, "genres", hot=lambda: hot_through_tracks(recent, tracks, "artist_id")
+    )
     return (
         tagged.select("user_id", "n", F.explode("genres").alias("genre"))
         .groupBy("user_id", "genre")
@@ -358,7 +372,7 @@ def user_listening_patterns(
     genres = ranked_labels(ranked, "user_id", label, "rank", 3, "top_genres", ", ")
     people = users.select("user_id", "username", "country", "subscription_type")
     return (
-        dim_join(profile.join(genres, "user_id", "left"), people, "user_id")
+        dim_join(profile.join(genres, "user_id", "left"), people, "user_id", per_key=True)
         .orderBy(F.desc("active_days"), F.desc("avg_minutes"), "user_id")
         .select(
             "user_id",
@@ -408,14 +422,25 @@ def _top_named(
         measure = F.count_distinct("user_id")
     else:
         raise ValueError(f"metric is 'plays' or 'listeners': {metric}")
-    named = join_artists(join_tracks(rows, tracks, "name", "artist_id"), artists, "name")
+    named = join_tracks(
+        rows,
+        tracks,
+        "name",
+        "artist_id",
+        hot=lambda: hot_keys(plays, "track_id"),
+        per_key=metric == "plays",
+    )
+    named = join_artists(
+        named, artists, "name", hot=lambda: hot_through_tracks(plays, tracks, "artist_id")
+    )
     return top_k(named.groupBy(*names).agg(measure.alias("metric")), "metric", k, *names)
 
 
 def most_played_genre(plays: DataFrame, tracks: DataFrame, artists: DataFrame, key: str) -> DataFrame:
-    """Genre with the most plays per value of ``key``."""
+    """Genre with the most plays per value of ``key``, a small domain such as the hour."""
     per_track = plays.groupBy(key, "track_id").agg(F.count(F.lit(1)).alias("n"))
-    tagged = join_artists(join_tracks(per_track, tracks, "artist_id"), artists, "genres")
+    tagged = join_tracks(per_track, tracks, "artist_id", per_key=True)
+    tagged = join_artists(tagged, artists, "genres", hot=lambda: hot_keys(tracks, "artist_id"))
     return (
         tagged.select(key, "n", F.explode("genres").alias("genre"))
         .groupBy(key, "genre")
