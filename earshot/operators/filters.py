@@ -8,7 +8,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.functions.measures import is_true, non_empty  # noqa: F401
 from earshot.functions.time import day
 
 Day = str | dt.date

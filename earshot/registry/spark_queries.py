@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from earshot.operators import changes, quality, sessions, windows
+from earshot.operators import changes, quality, sessions
 from earshot.operators.grouping import union_counts
 from earshot.operators.joins import lookup_with_default
 from earshot.plans import activity, daily, extracts, features, marts
