@@ -104,7 +104,12 @@ def snapshot_scd2(history: DataFrame, current: DataFrame, key: str, ts: Column)
     open_rows = history.where(F.col("valid_to").isNull()).select(key, "row_hash")
     opened = (
         current.join(open_rows, [key, "row_hash"], "left_anti")
-        .withColumns({"valid_from": ts, "valid_to": F.lit(None).cast("timestamp")})
+        .withColumns(
+            {
+                "valid_from": ts.cast(history.schema["valid_from"].dataType),
+                "valid_to": F.lit(None).cast(history.schema["valid_to"].dataType),
+            }
+        )
         .select(*history.columns)
     )
     return closed.unionByName(opened)
