@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +32,8 @@ def build_session(app_name: str = "earshot", master: str | None = None, **conf)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Where it is unset, a local-mode session takes a folder in its warehouse; a cluster has to
+    name one that all executors share.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -43,7 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="earshot-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}/_scratch"
     context.setCheckpointDir(configured)
     return configured
 
