@@ -153,10 +153,61 @@ def op5() -> str:
     FROM copied"""
 
 
+def op8() -> str:
+    return """
+    WITH RECURSIVE vectors AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS MATERIALIZED (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+        WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+    reached AS (
+        SELECT vec_id AS x, vec_id AS root FROM vectors
+        UNION SELECT l.y, r.root FROM reached r JOIN links l ON l.x = r.x WHERE r.root < l.y),
+    smallest AS (SELECT x, min(root) AS root FROM reached GROUP BY x),
+    degrees AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id,
+           vec_id = coalesce(root, vec_id) AS kept
+    FROM embeddings LEFT JOIN degrees d ON d.x = vec_id LEFT JOIN smallest s ON s.x = vec_id"""
+
+
+def op10() -> str:
+    return r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    shingles AS MATERIALIZED (
+        SELECT DISTINCT doc_id, hash(s) AS s FROM (
+            SELECT doc_id, unnest(list_transform(
+                     range(1, greatest(len(w) - 4, 1) + 1),
+                     lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+            FROM words WHERE len(w) > 0)),
+    sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS MATERIALIZED (
+        SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+        WHERE 100 * n_both >= 80 * (p.n + q.n - n_both)),
+    both_ways AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reached AS (
+        SELECT doc_id AS x, doc_id AS root FROM sizes
+        UNION SELECT b.y, r.root FROM reached r JOIN both_ways b ON b.x = r.x WHERE r.root < b.y),
+    smallest AS (SELECT x, min(root) AS root FROM reached GROUP BY x)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, d.doc_id) AS component_id
+    FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN smallest ON x = d.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": op1(),
         "op2_license_scan": op2(),
         "op4_chat_format": op4(),
         "op5_source_mixing": op5(),
+        "op8_embedding_links": op8(),
+        "op10_ngram_join": op10(),
     }

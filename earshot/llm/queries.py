@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from earshot.llm import (
     chat_format,
     classifier,
+    embedding_links,
     html_text,
     licenses,
     mixing,
+    ngram_join,
     packing,
     quality_rules,
     secrets,
@@ -93,6 +95,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(docs, automata(), redacted=False))
 
 
+def op8_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = classifier.fit(docs, table(spark, sf_dir, "labels"))
@@ -105,6 +111,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.near_duplicates(docs)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -114,5 +125,7 @@ def queries() -> dict[str, Query]:
         "op5_source_mixing": op5_source_mixing,
         "op6_html_extraction": op6_html_extraction,
         "op7_secret_scan": op7_secret_scan,
+        "op8_embedding_links": op8_embedding_links,
         "op9_quality_classifier": op9_quality_classifier,
+        "op10_ngram_join": op10_ngram_join,
     }
