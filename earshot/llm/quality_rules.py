@@ -54,21 +54,14 @@ RULES = (
 )
 
 
-def _window_hashes(words: str) -> Column:
-    """A 64-bit hash of each window of eight words, built by doubling: 1, 2, 4, 8 words."""
-
-    def paired(hashes: Column, step: int) -> Column:
-        n = F.greatest(F.size(hashes) - step, F.lit(0))
-        return F.zip_with(
-            F.slice(hashes, F.lit(1), n),
-            F.slice(hashes, F.lit(1 + step), n),
-            lambda a, b: F.xxhash64(a, b),
-        )
-
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    for step in (1, 2, 4):
-        hashes = paired(hashes, step)
-    return hashes
+def _paired(hashes: str, step: int) -> Column:
+    """Each hash joined with the one ``step`` places further on."""
+    n = F.greatest(F.size(hashes) - step, F.lit(0))
+    return F.zip_with(
+        F.slice(hashes, F.lit(1), n),
+        F.slice(hashes, F.lit(1 + step), n),
+        lambda a, b: F.xxhash64(a, b),
+    )
 
 
 def measure_text(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -90,7 +83,12 @@ def measure_text(docs: DataFrame, text: str = "text") -> DataFrame:
             F.split("_q_text", "\n"), lambda line: F.regexp_replace(line, SPACES, "") != ""
         ).alias("_q_lines"),
     )
-    step = step.select("*", _window_hashes("_q_words").alias("_q_hashes"))
+    # A 64-bit hash of each window of eight words, by doubling: 1, 2, 4, 8 words.  Each level is
+    # a column of its own, so that it is computed once.
+    step = step.select("*", F.transform("_q_words", lambda w: F.xxhash64(w)).alias("_q_1"))
+    step = step.select("*", _paired("_q_1", 1).alias("_q_2"))
+    step = step.select("*", _paired("_q_2", 2).alias("_q_4"))
+    step = step.select("*", _paired("_q_4", 4).alias("_q_hashes"))
     # The windows in hash order; empty unless some hash occurs twice.
     ordered = F.sort_array(
         F.transform("_q_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("at")))
