@@ -8,10 +8,11 @@ linked if the intersection has at least 80 % of the union.
 2. A document's prefix is what it must share one shingle of with any partner.  Documents of
    equal prefix and size form a group; a group is listed once under each shingle of its prefix.
 3. Shingles with more than one group are kept.  Each list first pairs a leader with the
-   others of about its size; the verified ones are joined to components.  Then all pairs of a list
-   that are still in different components, and that sizes and positions in the prefix do
-   not rule out, are expanded to members and verified.  Pairs within a component need no
-   test, so a large group of near copies costs its size and not its square.
+   others of about its size; pairs that share enough shingles are expanded to members and
+   verified, and the verified ones joined to components.  Then all pairs of a list that are
+   still in different components are filtered by size, by position and by the number of
+   shingles their prefixes share, and verified as well.  Pairs within a component need no test,
+   so a large group of near copies costs its size and not its square.
 4. The components of all verified links are the result.  Exact copies (equal sets) are one
    member.
 
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm import text_arrays
@@ -51,8 +52,8 @@ BUCKET_BYTES = 64 << 20
 CODE_BITS = 24
 
 LIST_SCHEMA = (
-    "kind int, shingle long, group_id long, size int, place int, other long, doc_id long, "
-    "mark1 long, mark2 long"
+    "kind int, shingle long, group_id long, size int, place int, other long, other_size int, "
+    "doc_id long, mark1 long, mark2 long"
 )
 DOC, LISTED, LEADER = 0, 1, 2
 
@@ -191,6 +192,15 @@ class Order:
         return out
 
 
+MARK = np.uint64(0x51ED270B)
+
+
+def _sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The sum (modulo 2**64) of each run of values; ``begin`` has the runs' ends as well."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    return total[begin[1:]] - total[begin[:-1]]
+
+
 def prefixes(texts: text_arrays.Texts, order: Order) -> tuple[np.ndarray, ...]:
     """For each text its size, group and two fingerprints; and the prefix entries of all.
 
@@ -202,12 +212,8 @@ def prefixes(texts: text_arrays.Texts, order: Order) -> tuple[np.ndarray, ...]:
     sizes = np.bincount(rows, minlength=n)
     begin = np.concatenate([[0], np.cumsum(sizes)])
 
-    def summed(values: np.ndarray) -> np.ndarray:
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-        return total[begin[1:]] - total[begin[:-1]]
-
-    mark1 = summed(text_arrays.mix(found ^ np.uint64(0x51ED270B)))
-    mark2 = summed(text_arrays.mix(found + np.uint64(0x9E3779B97F4A7C15)))
+    mark1 = _sums(text_arrays.mix(found ^ MARK), begin)
+    mark2 = _sums(text_arrays.mix(found + np.uint64(0x9E3779B97F4A7C15)), begin)
     ranks = order.ranks(found)
     # Rows are in order already; only those with common shingles change.
     if ranks.any():
@@ -217,10 +223,8 @@ def prefixes(texts: text_arrays.Texts, order: Order) -> tuple[np.ndarray, ...]:
     inside = place <= prefix_length(sizes)[rows]
     found, rows, place = found[inside], rows[inside], place[inside]
     taken = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))])
-    sums = np.concatenate(
-        [np.zeros(1, np.uint64), np.cumsum(text_arrays.mix(found * np.uint64(3)), dtype=np.uint64)]
-    )
-    group = text_arrays.mix(sums[taken[1:]] - sums[taken[:-1]] + sizes.astype(np.uint64))
+    sums = _sums(text_arrays.mix(found * np.uint64(3)), taken)
+    group = text_arrays.mix(sums + sizes.astype(np.uint64))
     return sizes, group, mark1, mark2, found, rows, place
 
 
@@ -313,16 +317,18 @@ def group_lists(docs: DataFrame, common: np.ndarray, bits: int, doc_id: str, tex
         several[1:] = found[1:] == found[:-1]
         several[:-1] |= several[1:]
         found, group, size, place = found[several], group[several], size[several], place[several]
-        leader, member = _leader_pairs(found, group, size, place)
+        leader, member, leader_size, member_size, shared = _leader_pairs(found, group, size)
         n, m = len(found), len(leader)
+        # A leader pair has the number of shared shingles as its place.
         out = pa.table(
             {
                 "kind": np.concatenate([np.full(n, LISTED), np.full(m, LEADER)]).astype(np.int32),
                 "shingle": np.concatenate([found.view(np.int64), np.zeros(m, np.int64)]),
                 "group_id": np.concatenate([group.view(np.int64), leader.view(np.int64)]),
-                "size": np.concatenate([size, np.zeros(m, np.uint32)]).astype(np.int32),
-                "place": np.concatenate([place, np.zeros(m, np.uint32)]).astype(np.int32),
+                "size": np.concatenate([size, leader_size]).astype(np.int32),
+                "place": np.concatenate([place, shared]).astype(np.int32),
                 "other": np.concatenate([np.zeros(n, np.int64), member.view(np.int64)]),
+                "other_size": np.concatenate([np.zeros(n, np.uint32), member_size]).astype(np.int32),
                 "doc_id": pa.nulls(n + m, pa.int64()),
                 "mark1": np.zeros(n + m, np.int64),
                 "mark2": np.zeros(n + m, np.int64),
@@ -339,6 +345,7 @@ def group_lists(docs: DataFrame, common: np.ndarray, bits: int, doc_id: str, tex
                     "size": docs.column("size"),
                     "place": np.zeros(k, np.int32),
                     "other": np.zeros(k, np.int64),
+                    "other_size": np.zeros(k, np.int32),
                     "doc_id": docs.column("doc_id"),
                     "mark1": docs.column("mark1"),
                     "mark2": docs.column("mark2"),
@@ -372,23 +379,66 @@ def _from_bytes(raw: bytes) -> pa.Table:
     return pa.ipc.open_stream(raw).read_all()
 
 
-def _leader_pairs(
-    found: np.ndarray, group: np.ndarray, size: np.ndarray, place: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """In each list and band of sizes, the smallest group paired with each other one."""
+def _leader_pairs(found: np.ndarray, group: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """In each list and band of sizes, the smallest group paired with each other one.
+
+    Gives leader, member, their sizes and the number of lists with the pair.
+    """
     band = np.floor(np.log(np.maximum(size, 1)) / np.log(1.2)).astype(np.int64)
     order = np.lexsort((group, band, found))
-    f, b, g = found[order], band[order], group[order]
+    f, b, g, z = found[order], band[order], group[order], size[order]
     first = np.ones(len(f), bool)
     first[1:] = (f[1:] != f[:-1]) | (b[1:] != b[:-1])
     head = np.maximum.accumulate(np.where(first, np.arange(len(f)), 0))
-    leader, member = g[head], g
-    other = leader != member
-    pairs = np.unique(np.stack([leader[other], member[other]], axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    other = g[head] != g
+    leader, member, leader_size, member_size = g[head][other], g[other], z[head][other], z[other]
+    order = np.lexsort((member, leader))
+    leader, member = leader[order], member[order]
+    new = np.ones(len(leader), bool)
+    new[1:] = (leader[1:] != leader[:-1]) | (member[1:] != member[:-1])
+    at = np.flatnonzero(new)
+    counts = np.diff(np.append(at, len(leader)))
+    return leader[at], member[at], leader_size[order][at], member_size[order][at], counts
+
+
+def reachable(shared: Column, size_a: Column, size_b: Column) -> Column:
+    """Whether sets that share so many shingles of their prefixes can be similar enough.
+
+    The prefix that ends first in the order holds no more common shingles than those shared,
+    so the intersection is at most their number and what follows that prefix.
+    """
+
+    def behind(size: Column) -> Column:
+        return F.ceil(PERCENT * size / 100) - 1
+
+    need = F.ceil(PERCENT * (size_a + size_b) / (100 + PERCENT))
+    return shared + F.greatest(behind(size_a), behind(size_b)) >= need
+
+
+#: Bits of the filter that the ids in question are looked up with, 64 in a row.
+FILTER_BITS = 1 << 22
 
 
-def verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> DataFrame:
+def only_wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (id, text) whose id is wanted, and perhaps a few others.
+
+    The wanted ids are hashed into a filter of fixed size (65,536 rows at most, so it may be
+    broadcast); it saves the other texts from being shuffled.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    word, bit = F.floor(place / 64), F.pmod(place, F.lit(64)).cast("int")
+    marked = (
+        ids.select(word.alias("word"), F.expr("1L").alias("one"), bit.alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits"))
+    )
+    passing = docs.withColumns({"word": word, "bit": bit}).join(F.broadcast(marked), "word")
+    return passing.where(F.getbit("bits", F.col("bit")) == 1).select("id", "text")
+
+
+def verified(
+    docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, percent: int = PERCENT
+) -> DataFrame:
     """Those of the pairs (a, a_mark, b, b_mark) whose sets are similar enough, as (a, b).
 
     The texts of the ids in question are looked up, turned to sets and compared.
@@ -400,13 +450,7 @@ def verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, percent:
                 n = len(texts.starts)
                 rows, found = shingle_sets(texts)
                 begin = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))])
-                total = np.concatenate(
-                    [
-                        np.zeros(1, np.uint64),
-                        np.cumsum(text_arrays.mix(found ^ np.uint64(0x51ED270B)), dtype=np.uint64),
-                    ]
-                )
-                marks = (total[begin[1:]] - total[begin[:-1]]).view(np.int64)
+                marks = _sums(text_arrays.mix(found ^ MARK), begin).view(np.int64)
                 raw = [found[s:e].tobytes() for s, e in zip(begin, begin[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -427,20 +471,19 @@ def verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, percent:
             out.append(100 * both >= percent * (len(a) + len(b) - both))
         return pa.array(out, pa.bool_())
 
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    spark = docs.sparkSession
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     texts = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("id"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
-    looked_up = (
-        texts.join(wanted, "id", "left_semi")
-        .mapInArrow(sets, "id long, mark long, shingles binary")
-    )
-    path = scratch_path(docs.sparkSession, "shingle-sets")
-    looked_up.write.parquet(path)
-    looked_up = docs.sparkSession.read.parquet(path).dropDuplicates(["id", "mark"])
-    left = looked_up.select(F.col("id").alias("a"), F.col("mark").alias("a_mark"), F.col("shingles").alias("left"))
-    right = looked_up.select(F.col("id").alias("b"), F.col("mark").alias("b_mark"), F.col("shingles").alias("right"))
+    path = scratch_path(spark, "shingle-sets")
+    only_wanted(texts, wanted).mapInArrow(
+        sets, "id long, mark long, shingles binary"
+    ).dropDuplicates(["id", "mark"]).write.parquet(path)
+    found = spark.read.parquet(path)
+    left = found.toDF("a", "a_mark", "left")
+    right = found.toDF("b", "b_mark", "right")
     both = pairs.join(right, ["b", "b_mark"]).join(left, ["a", "a_mark"])
     return both.where(similar("left", "right")).select("a", "b")
 
@@ -470,7 +513,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .select("head.id", "head.mark", F.col("id").alias("b"), F.col("mark").alias("b_mark"))
         .toDF("a", "a_mark", "b", "b_mark")
     )
-    leaders = stored.where(F.col("kind") == LEADER).select("group_id", "other").distinct()
+    leaders = (
+        stored.where(F.col("kind") == LEADER)
+        .groupBy("group_id", "size", "other", "other_size")
+        .agg(F.sum("place").alias("shared"))
+        .where(reachable(F.col("shared"), F.col("size"), F.col("other_size")))
+    )
     across = (
         leaders.join(heads, "group_id")
         .select("head", F.col("other").alias("group_id"))
@@ -508,14 +556,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     x, y = open_lists.alias("x"), open_lists.alias("y")
     need = F.ceil(PERCENT * (F.col("x.size") + F.col("y.size")) / (100 + PERCENT))
     reach = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) + 1
-    rest = x.join(
+    met = x.join(
         y,
         (F.col("x.shingle") == F.col("y.shingle"))
         & (F.col("x.label") < F.col("y.label"))
         & (100 * F.col("x.size") >= PERCENT * F.col("y.size"))
-        & (100 * F.col("y.size") >= PERCENT * F.col("x.size"))
-        & (reach >= need),
-    ).select("x.id", "x.mark", F.col("y.id").alias("b"), F.col("y.mark").alias("b_mark"))
+        & (100 * F.col("y.size") >= PERCENT * F.col("x.size")),
+    ).select(
+        F.struct("x.id", "x.mark", "x.size").alias("x"),
+        F.struct("y.id", "y.mark", "y.size").alias("y"),
+        (reach >= need).alias("first"),
+    )
+    # The first shingle that two sets share must leave enough behind it, and all of them
+    # together as well.
+    rest = (
+        met.groupBy("x", "y")
+        .agg(F.count("*").alias("shared"), F.bool_or("first").alias("first"))
+        .where(F.col("first") & reachable(F.col("shared"), F.col("x.size"), F.col("y.size")))
+        .select("x.id", "x.mark", F.col("y.id").alias("b"), F.col("y.mark").alias("b_mark"))
+    )
     parted = whole.where("low <> high").select("group_id")
     split = labelled.join(parted, "group_id", "left_semi")
     x, y = split.alias("x"), split.alias("y")
