@@ -19,10 +19,6 @@ def sum_where(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(0))
 
 
-def max_where(condition: Column, value: Column) -> Column:
-    return F.max(F.when(condition, value))
-
-
 def avg_or_zero(value: Column) -> Column:
     """Average of the non-null values, 0 when there are none."""
     return F.coalesce(F.avg(value), F.lit(0.0))
@@ -40,11 +36,6 @@ def daypart_counts(daypart: Column, suffix: str, weight: Column | None = None) -
     return [sum_where(daypart == part, weight).alias(f"{part}_{suffix}") for part in DAYPARTS]
 
 
-def first_by(value: Column, *order: Column) -> Column:
-    """Value of the first row in ``order``; the order must be total to be reproducible."""
-    return F.min_by(value, F.struct(*order))
-
-
 def top_by_count(value: Column, count: Column) -> Column:
     """Most frequent value of already counted rows, smallest value first on ties."""
     return F.min_by(value, F.struct(-count, value))

@@ -52,23 +52,11 @@ def cap(value: Column, high: float) -> Column:
     return F.when(value.isNotNull(), F.least(value, F.lit(high)))
 
 
-def trunc_int(value: Column) -> Column:
-    return value.cast("long")
-
-
 def floor_div(a: Column, b: Column) -> Column:
     """Floor division, 0 when the divisor is not positive."""
     return F.when(b > 0, F.floor(a / b)).otherwise(0).cast("long")
 
 
-def as_double(value: Column) -> Column:
-    return _d(value)
-
-
-def as_decimal(value: Column, precision: int, scale: int) -> Column:
-    return value.cast(f"decimal({precision},{scale})")
-
-
 def is_true(flag: Column) -> Column:
     """Null counts as false."""
     return F.coalesce(flag, F.lit(False))
@@ -118,14 +106,21 @@ def weekly_score(plays: Column, listeners: Column, completion: Column) -> Column
     )
 
 
+# Labels of the listening patterns.
+LISTENER_LABELS = ("Heavy Listener", "Regular Listener", "Casual Listener", "Mixed Pattern")
+WEEK_LABELS = ("Weekday Listener", "Weekend Listener")
+
+
 def listener_type(avg_minutes: Column, active_days: Column) -> Column:
+    heavy, regular, casual, mixed = LISTENER_LABELS
     return (
-        F.when((avg_minutes > 60) & (active_days > 20), "Heavy Listener")
-        .when(avg_minutes.between(30, 60) & active_days.between(10, 20), "Regular Listener")
-        .when((avg_minutes < 30) & (active_days < 10), "Casual Listener")
-        .otherwise("Mixed Pattern")
+        F.when((avg_minutes > 60) & (active_days > 20), heavy)
+        .when(avg_minutes.between(30, 60) & active_days.between(10, 20), regular)
+        .when((avg_minutes < 30) & (active_days < 10), casual)
+        .otherwise(mixed)
     )
 
 
 def weekday_preference(weekday_plays: Column, weekend_plays: Column) -> Column:
-    return F.when(weekday_plays > weekend_plays, "Weekday Listener").otherwise("Weekend Listener")
+    on_days, at_weekends = WEEK_LABELS
+    return F.when(weekday_plays > weekend_plays, on_days).otherwise(at_weekends)

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.operators.joins import dim_join
-
 
 def dedupe_first(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """First row per key in ``order``; copies of a key are combined before the shuffle."""
+    """First row per key in ``order``; copies of a key are combined before the shuffle.
+
+    Rows of equal order are told apart by all their columns (but maps, which have no order).
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    ordering = F.struct(*order) if order else row
+    sortable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    ordering = F.struct(*order, *[F.col(f"`{c}`").alias(f"_by_{c}") for c in sortable])
     return df.groupBy(*keys).agg(F.min_by(row, ordering).alias("_row")).select("_row.*")
 
 
@@ -96,7 +98,7 @@ def snapshot_scd2(history: DataFrame, current: DataFrame, key: str, ts: Column)
     the open version).  Keys missing from ``current`` are left open.
     """
     latest = current.select(key, F.col("row_hash").alias("_hash"))
-    known = dim_join(history, latest, key, "left", per_key=True)
+    known = history.join(latest, key, "left")
     is_changed = F.col("valid_to").isNull() & (F.col("_hash") != F.col("row_hash"))
     closed = known.withColumn(
         "valid_to", F.when(is_changed, ts).otherwise(F.col("valid_to"))

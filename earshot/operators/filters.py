@@ -22,11 +22,6 @@ def date_between(ts: Column, first: Day, last: Day) -> Column:
     return (ts >= day(first)) & (ts < day(last, 1))
 
 
-def ts_between(ts: Column, start, end) -> Column:
-    """Closed range on the instant: a bare end date means its midnight."""
-    return ts.between(F.lit(start), F.lit(end))
-
-
 def trailing(ts: Column, as_of: Day, days: int, skip: int = 0) -> Column:
     """``days`` whole days ending ``skip`` days before ``as_of``, which is excluded."""
     return (ts >= day(as_of, -days - skip)) & (ts < day(as_of, -skip))

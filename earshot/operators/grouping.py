@@ -26,27 +26,6 @@ def count_by_expr(df: DataFrame, out: str = "n", **exprs: Column) -> DataFrame:
     return count_by(df.select(*[e.alias(k) for k, e in exprs.items()]), list(exprs), out)
 
 
-def distinct_by(df: DataFrame, keys: Keys, column: str, out: str = "n") -> DataFrame:
-    return df.groupBy(*_list(keys)).agg(F.count_distinct(F.col(column)).alias(out))
-
-
-def row_count(df: DataFrame, out: str = "n") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(out))
-
-
-def one_row(df: DataFrame, **aggregates: Column) -> DataFrame:
-    """Several global aggregates in one pass."""
-    return df.agg(*[a.alias(name) for name, a in aggregates.items()])
-
-
-def avg_of_daily(df: DataFrame, key: str, day: Column, value: Column, out: str) -> DataFrame:
-    """Sum per key and day, then the average of those sums per key."""
-    daily = df.groupBy(key, day.alias("_day")).agg(F.sum(value).alias("_value"))
-    return daily.groupBy(key).agg(
-        F.count(F.lit(1)).alias("active_days"), F.avg("_value").alias(out)
-    )
-
-
 def most_frequent(df: DataFrame, keys: Keys, column: str, out: str) -> DataFrame:
     """Most frequent non-null value per key, smallest value first on ties."""
     keys = _list(keys)
@@ -165,14 +144,6 @@ def top_counts(df: DataFrame, column: str, k: int, out: str = "n") -> DataFrame:
     return top_k(count_by(df, column, out), out, k, column)
 
 
-def sort_by(df: DataFrame, *columns: Column | str) -> DataFrame:
-    return df.orderBy(*columns)
-
-
-def distinct_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*columns).distinct()
-
-
 def union_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """One labelled row count per frame."""
     counts = [

@@ -1,135 +1,37 @@
 """Joins of play facts to dimensions.
 
-A dimension is broadcast only when the optimizer's size estimate is below the session's
-broadcast threshold.  Past it the join shuffles, and the few hottest fact keys are spread
-over ``SALTS`` sub-keys so that one key holding much of the fact does not land in one task.
+How a dimension is joined is the optimizer's choice: it broadcasts what its own size estimate
+puts below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles the rest.  In a shuffled join
+adaptive execution measures the partitions and splits those that a hot track, artist or user
+makes too large, by as much as their bytes ask for, so the facts are read once and
+nothing has to be counted beforehand.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
-SALTS = 32
-
-
-def broadcastable(df: DataFrame) -> bool:
-    """Whether the estimated size of ``df`` is within the session's broadcast threshold."""
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    if threshold <= 0:
-        return False
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= threshold
-
-
-def hot_keys(df: DataFrame, on: str | list[str]) -> DataFrame:
-    """The ``HOT_KEYS`` most frequent keys: any other key holds under 1/HOT_KEYS of the rows."""
-    keys = [on] if isinstance(on, str) else list(on)
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys)
-    )
-
 
-def salted_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | list[str],
-    how: str = "inner",
-    hot: DataFrame | None = None,
+def join_tracks(
+    rows: DataFrame, tracks: DataFrame, *columns: str, how: str = "inner"
 ) -> DataFrame:
-    """Equi-join in which each hot fact key is split over ``SALTS`` tasks.
-
-    The dimension rows of hot keys are repeated once per salt, all others are kept once, so
-    the result is the plain join's.  The salt is a hash of the row, hence the same on a retry.
-    ``hot`` may be given when it is cheaper to compute from an earlier frame.
-    """
-    keys = [on] if isinstance(on, str) else list(on)
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"salted_join keeps the fact side only: {how}")
-    flagged = (hot_keys(fact, keys) if hot is None else hot).withColumn("_hot", F.lit(True))
-    unmatched = F.lit(False)
-    for key in keys:
-        unmatched = unmatched | F.col(key).isNull()
-    # Maps have no hash; the other columns are enough to spread the rows.
-    hashable = [f.name for f in fact.schema if "map<" not in f.dataType.simpleString()]
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(SALTS)).cast("int")
-    spread = (
-        fact.join(F.broadcast(flagged), keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | unmatched, salt).otherwise(0))
-        .drop("_hot")
-    )
-    copies = (
-        dim.join(F.broadcast(flagged), keys, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop("_hot")
-    )
-    return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
-
-
-Hot = Callable[[], DataFrame]
-
-
-def dim_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | list[str],
-    how: str = "inner",
-    hot: Hot | None = None,
-    per_key: bool = False,
-) -> DataFrame:
-    """Join a fact to a dimension: broadcast if its size is checked, salted shuffle otherwise.
-
-    ``hot`` finds the hot keys from an earlier, cheaper frame than ``fact``; it is called
-    only when they are needed.  ``per_key`` says that the fact is already aggregated to the
-    key (one row, or one per day or hour), so that there is nothing to spread.
-    """
-    if broadcastable(dim):
-        return fact.join(F.broadcast(dim), on, how)
-    if per_key:
-        return fact.join(dim, on, how)
-    return salted_join(fact, dim, on, how, hot() if hot else None)
-
-
-def hot_through_tracks(plays: DataFrame, tracks: DataFrame, column: str) -> DataFrame:
-    """Hot artists or albums of the plays; plays are counted per track before the join."""
-    per_track = plays.groupBy("track_id").agg(F.count(F.lit(1)).alias("_plays"))
-    return (
-        dim_join(per_track, tracks.select("track_id", column), "track_id", per_key=True)
-        .groupBy(column)
-        .agg(F.sum("_plays").alias("_plays"))
-        .orderBy(F.desc("_plays"), column)
-        .limit(HOT_KEYS)
-        .select(column)
-    )
-
-
-def join_tracks(rows: DataFrame, tracks: DataFrame, *columns: str, **how) -> DataFrame:
     """Add attributes of each row's track; ``name`` arrives as ``track_name``."""
-    return dim_join(rows, _attributes(tracks, "track", columns), "track_id", **how)
+    return rows.join(_attributes(tracks, "track", columns), "track_id", how)
 
 
-def join_artists(rows: DataFrame, artists: DataFrame, *columns: str, **how) -> DataFrame:
+def join_artists(
+    rows: DataFrame, artists: DataFrame, *columns: str, how: str = "inner"
+) -> DataFrame:
     """Add attributes of each row's artist; ``name`` arrives as ``artist_name``."""
-    return dim_join(rows, _attributes(artists, "artist", columns), "artist_id", **how)
+    return rows.join(_attributes(artists, "artist", columns), "artist_id", how)
 
 
-def join_albums(rows: DataFrame, albums: DataFrame, *columns: str, **how) -> DataFrame:
+def join_albums(
+    rows: DataFrame, albums: DataFrame, *columns: str, how: str = "inner"
+) -> DataFrame:
     """Add attributes of each row's album; ``name`` arrives as ``album_name``."""
-    return dim_join(rows, _attributes(albums, "album", columns), "album_id", **how)
+    return rows.join(_attributes(albums, "album", columns), "album_id", how)
 
 
 def _attributes(dim: DataFrame, entity: str, columns: tuple[str, ...]) -> DataFrame:
@@ -139,39 +41,6 @@ def _attributes(dim: DataFrame, entity: str, columns: tuple[str, ...]) -> DataFr
     )
 
 
-def track_catalog(
-    tracks: DataFrame, artists: DataFrame, albums: DataFrame | None = None, how: str = "inner"
-) -> DataFrame:
-    """One row per track with names of its artist (and album)."""
-    picked = tracks.select(
-        "track_id", F.col("name").alias("track_name"), "artist_id", "album_id", "duration_ms"
-    )
-    catalog = join_artists(picked, artists, "name", how=how)
-    if albums is not None:
-        catalog = join_albums(
-            catalog, albums, "name", how=how, hot=lambda: hot_keys(tracks, "album_id")
-        )
-    return catalog
-
-
-def enrich_plays(
-    plays: DataFrame, tracks: DataFrame, artists: DataFrame, albums: DataFrame | None = None
-) -> DataFrame:
-    """Star join of plays with their track, artist and album; unmatched plays are dropped.
-
-    Each dimension is joined to the plays on its own, so each has its own size check.
-    """
-    joined = join_tracks(plays, tracks, "name", "artist_id", "album_id", "duration_ms")
-    joined = join_artists(
-        joined, artists, "name", hot=lambda: hot_through_tracks(plays, tracks, "artist_id")
-    )
-    if albums is None:
-        return joined
-    return join_albums(
-        joined, albums, "name", hot=lambda: hot_through_tracks(plays, tracks, "album_id")
-    )
-
-
 # Attributes of a play whose track is not in the catalogue.
 UNKNOWN_TRACK = {
     "track_name": "Unknown",
@@ -199,14 +68,12 @@ def lookup_with_default(
         artists,
         "name",
         how="left",
-        hot=lambda: hot_through_tracks(plays, tracks, "artist_id"),
     )
     joined = join_albums(
         joined,
         albums,
         "name",
         how="left",
-        hot=lambda: hot_through_tracks(plays, tracks, "album_id"),
     )
     filled = joined.select(
         *plays.columns,
@@ -231,11 +98,6 @@ def fill_spine(df: DataFrame, key: str, low: int, high: int) -> DataFrame:
     return spine.join(df, key, "left").fillna(0)
 
 
-def with_params(df: DataFrame, **params) -> DataFrame:
-    """A one-row parameter table, added as literal columns instead of a join."""
-    return df.withColumns({name: F.lit(value) for name, value in params.items()})
-
-
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Distinct non-null child keys without a parent row, with their number of child rows."""
     used = (

@@ -66,8 +66,9 @@ def sessionize(plays: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """Every play with the number of its inferred session within the user's history.
 
     The plays meet their session on (user, slot), so a very active user stays spread out.
+    A play without a user or a time is kept with a null session number.
     """
     width = gap_minutes * 60
     slot = F.floor(F.unix_timestamp(F.col("played_at").cast("timestamp")) / width)
     numbers = _slots(plays, gap_minutes).select("user_id", "_slot", "session_no")
-    return plays.withColumn("_slot", slot).join(numbers, ["user_id", "_slot"]).drop("_slot")
+    return plays.withColumn("_slot", slot).join(numbers, ["user_id", "_slot"], "left").drop("_slot")

@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.functions.time import day as day_literal
-from earshot.session import checkpoint
 
 
 def rank_within(df: DataFrame, keys: list[str], *order: Column, out: str = "rank") -> DataFrame:
@@ -24,39 +23,36 @@ def top_rank(
     return rank_within(df, keys, *order, out=out).where(F.col(out) <= k)
 
 
-def rank_all(df: DataFrame, keys: list[str], *order: Column, out: str = "rank") -> DataFrame:
-    """Row number of every row within groups of any size.
+#: Neighbouring keys of one value that are numbered in one task.
+RANK_RANGE = 4096
 
-    Rows are range-partitioned on the keys and the order, so a large group is spread over
-    many tasks.  A row's number is its position in its own partition plus the number of the
-    group's rows in earlier partitions.  The placed rows are checkpointed because both
-    halves must see the same range boundaries.
+
+def rank_all(
+    df: DataFrame, groups: list[str], measure: str, key: str, out: str = "rank"
+) -> DataFrame:
+    """Row number of every row of groups of any size, by ``measure`` downwards and ``key``.
+
+    Rows are counted per group, value and range of keys; a row's number is its place in its
+    range plus the running sum of the ranges before.  So neither a large group nor a value
+    that most of its rows have is sorted in one task: ranges hold at most ``RANK_RANGE``
+    whole numbers, or the strings of one prefix.
     """
-    groups = [F.col(k) for k in keys]
-    placed = checkpoint(
-        df.repartitionByRange(*groups, *order)
-        .sortWithinPartitions(*groups, *order)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    placed = placed.withColumns(
-        {
-            "_chunk": F.shiftright("_place", 33),
-            "_pos": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)),
-        }
-    ).drop("_place")
-    runs = placed.groupBy(*keys, "_chunk").agg(
-        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    earlier = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    offsets = runs.select(
-        *keys,
-        "_chunk",
-        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_offset"),
+    numeric = df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    piece = F.floor(F.col(key) / RANK_RANGE) if numeric else F.substring(key, 1, 4)
+    cut = [*groups, measure, "_piece"]
+    rows = df.withColumn("_piece", piece)
+    before = W.partitionBy(*groups).orderBy(F.desc(measure), "_piece")
+    offsets = (
+        rows.groupBy(*cut)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.sum("_n").over(before) - F.col("_n"))
+        .drop("_n")
     )
+    place = F.row_number().over(W.partitionBy(*cut).orderBy(key))
     return (
-        placed.join(offsets, [*keys, "_chunk"])
-        .withColumn(out, F.col("_pos") + F.col("_offset"))
-        .drop("_chunk", "_pos", "_offset")
+        rows.join(offsets, cut)
+        .withColumn(out, (F.col("_before") + place).cast("long"))
+        .drop("_piece", "_before")
     )
 
 

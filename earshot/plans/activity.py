@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from earshot.functions import measures as m
 from earshot.functions import time as t
 from earshot.operators.filters import date_between, maybe_between, on_date
-from earshot.operators.grouping import count_by_expr
+from earshot.operators.grouping import count_by, count_by_expr
 from earshot.operators.joins import fill_spine, join_tracks
 from earshot.operators.windows import centered_avg, rank_all
 
@@ -69,7 +69,7 @@ def active_users(
 
 
 def new_users(users: DataFrame, day: Day) -> DataFrame:
-    return users.where(F.to_date("registered_on") == t.day(day)).select("user_id")
+    return users.where(on_date(F.col("registered_on"), day)).select("user_id")
 
 
 def churned_users(plays: DataFrame, day: Day, churn_days: int = CHURN_DAYS) -> DataFrame:
@@ -126,8 +126,8 @@ def active_users_range(
         )
     )
     zeros = {c: F.lit(0).cast("long") for c in ("dau", "week", "month", "churn", "fresh")}
-    registered = users.select(F.to_date("registered_on").alias("date")).where(
-        F.col("date").between(t.day(start), t.day(end))
+    registered = users.where(date_between(F.col("registered_on"), start, end)).select(
+        F.to_date("registered_on").alias("date")
     )
     registered = registered.select("date", *[c.alias(n) for n, c in zeros.items()]).withColumn(
         "fresh", F.lit(1).cast("long")
@@ -182,12 +182,18 @@ def hourly_distribution(plays: DataFrame) -> DataFrame:
 
 def user_activity_summary(users: DataFrame, plays: DataFrame) -> DataFrame:
     """Every user with streams, distinct tracks, active days and last activity."""
-    per_user = plays.groupBy("user_id").agg(
-        F.count("event_id").alias("total_streams"),
-        F.count_distinct("track_id").alias("unique_tracks"),
-        F.count_distinct(t.to_day(F.col("played_at"))).alias("active_days"),
+    per_track = plays.groupBy("user_id", "track_id").agg(
+        F.count("event_id").alias("streams"),
+        # Days are bounded by the calendar.
+        F.collect_set(t.to_day(F.col("played_at"))).alias("days"),
         F.max("played_at").alias("last_active"),
     )
+    per_user = per_track.groupBy("user_id").agg(
+        F.sum("streams").alias("total_streams"),
+        F.count("track_id").alias("unique_tracks"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("days")))).cast("long").alias("active_days"),
+        F.max("last_active").alias("last_active"),
+    )
     counts = ("total_streams", "unique_tracks", "active_days")
     return (
         users.select("user_id", "username", "country")
@@ -204,9 +210,9 @@ def user_activity_summary(users: DataFrame, plays: DataFrame) -> DataFrame:
 
 def artist_daily_stats(enriched: DataFrame, tracks: DataFrame) -> DataFrame:
     """Streams and listeners per artist and day."""
-    rows = join_tracks(enriched.select("date", "track_id", "user_id"), tracks, "artist_id")
-    return rows.groupBy("date", "artist_id").agg(
-        F.count(F.lit(1)).alias("total_streams"),
+    counted = count_by(enriched, ["date", "track_id", "user_id"], "streams")
+    return join_tracks(counted, tracks, "artist_id").groupBy("date", "artist_id").agg(
+        F.sum("streams").alias("total_streams"),
         F.count_distinct("user_id").alias("unique_listeners"),
     )
 
@@ -214,7 +220,7 @@ def artist_daily_stats(enriched: DataFrame, tracks: DataFrame) -> DataFrame:
 def daily_leaderboard(daily_stats: DataFrame, key: str) -> DataFrame:
     """All tracks or artists of each day ranked by streams, ties by key."""
     rows = daily_stats.select("date", key, "total_streams", "unique_listeners")
-    return rank_all(rows, ["date"], F.desc("total_streams"), F.asc(key))
+    return rank_all(rows, ["date"], "total_streams", key)
 
 
 def generate_analytics(history: DataFrame, as_of: Day) -> DataFrame:

@@ -20,8 +20,6 @@ from earshot.operators.grouping import (
     top_n_string,
 )
 from earshot.operators.joins import (
-    hot_keys,
-    hot_through_tracks,
     join_albums,
     join_artists,
     join_tracks,
@@ -135,14 +133,13 @@ def taste_facets(
     when the tracks are too large to broadcast.
     """
     joined = join_tracks(
-        per_track, tracks, "artist_id", how="left", hot=lambda: hot_keys(plays, "track_id")
+        per_track, tracks, "artist_id", how="left"
     )
     joined = join_artists(
         joined,
         artists,
         "genres",
         how="left",
-        hot=lambda: hot_through_tracks(plays, tracks, "artist_id"),
     )
     return facet_counts(
         joined,
@@ -167,11 +164,11 @@ def user_daily_stats_ext(enriched: DataFrame) -> DataFrame:
         count_where(m.is_true(F.col("skipped"))).alias("skips"),
         F.sum("completion_ratio").alias("completion"),
         F.count("completion_ratio").alias("completions"),
-        F.min("timestamp").alias("first_at"),
+        F.min(F.struct("timestamp", "event_id")).alias("first"),
         *daypart_counts(F.col("time_of_day"), "tracks"),
     )
     stats = per_track.groupBy(*keys).agg(
-        F.min_by("country", F.struct("first_at", "country")).alias("country"),
+        F.min_by("country", "first").alias("country"),
         F.sum("n").alias("total_tracks"),
         F.sum("ms").alias("total_time_ms"),
         F.count_distinct("track_id").alias("unique_tracks"),
@@ -270,32 +267,33 @@ def song_daily_metrics(
         "skips": (F.coalesce("completion", F.lit(0.0)) < skip_below).cast("long"),
         "completion": F.coalesce("completion", F.lit(0.0)),
     }
+    # One row per song, day, listener, platform and country before the facets unfold it.
+    alike = timed.groupBy(
+        *keys,
+        "user_id",
+        F.coalesce("platform", F.lit("unknown")).alias("platform"),
+        F.coalesce("country", F.lit("unknown")).alias("country"),
+    ).agg(*[F.sum(measure).alias(name) for name, measure in measures.items()])
     facets = facet_counts(
-        timed,
+        alike,
         keys,
         {
-            "platform": F.coalesce("platform", F.lit("unknown")),
-            "country": F.coalesce("country", F.lit("unknown")),
+            "platform": F.col("platform"),
+            "country": F.col("country"),
+            "listener": F.col("user_id"),
         },
-        additive=measures,
+        weight=F.col("play_count"),
+        additive={name: F.col(name) for name in measures},
     )
     totals = facets.groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in measures],
         facet_map("platform").alias("platforms"),
         facet_map("country").alias("countries"),
+        facet_size("listener").alias("unique_listeners"),
     )
-    listeners = (
-        _plays_between(plays, start, end)
-        .select(*keys, "user_id")
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.count("user_id").alias("unique_listeners"))
-    )
-    named = join_tracks(
-        totals.join(listeners, keys), tracks, "name", "artist_id", "album_id", per_key=True
-    )
-    named = join_artists(named, artists, "name", hot=lambda: hot_keys(tracks, "artist_id"))
-    named = join_albums(named, albums, "name", hot=lambda: hot_keys(tracks, "album_id"))
+    named = join_tracks(totals, tracks, "name", "artist_id", "album_id")
+    named = join_artists(named, artists, "name")
+    named = join_albums(named, albums, "name")
     return named.select(
         F.col("track_id").alias("song_id"),
         "date",
@@ -333,13 +331,13 @@ def user_daily_metrics(
     )
     scoped = _plays_between(plays, start, end)
     named = join_tracks(
-        per_track, tracks, "artist_id", "album_id", hot=lambda: hot_keys(scoped, "track_id")
+        per_track, tracks, "artist_id", "album_id"
     )
     named = join_artists(
-        named, artists, "name", hot=lambda: hot_through_tracks(scoped, tracks, "artist_id")
+        named, artists, "name"
     )
     named = join_albums(
-        named, albums, hot=lambda: hot_through_tracks(scoped, tracks, "album_id")
+        named, albums
     )
     facets = facet_counts(
         named,
@@ -438,7 +436,6 @@ def user_daily_full(
         per_artist,
         artists,
         "genres",
-        hot=lambda: hot_through_tracks(plays, tracks, "artist_id"),
     )
     facets = facet_counts(
         joined,
@@ -490,8 +487,8 @@ def track_daily_full(
         count_where(~weekend).alias("weekday_streams"),
         count_where(weekend).alias("weekend_streams"),
     )
-    named = join_tracks(daily, tracks, "name", "artist_id", per_key=True)
-    named = join_artists(named, artists, "name", hot=lambda: hot_keys(tracks, "artist_id"))
+    named = join_tracks(daily, tracks, "name", "artist_id")
+    named = join_artists(named, artists, "name")
     return named.select(
         *keys,
         "track_name",

@@ -12,9 +12,6 @@ from earshot.functions import time as t
 from earshot.operators.changes import insert_new
 from earshot.operators.filters import on_date
 from earshot.operators.joins import (
-    dim_join,
-    hot_keys,
-    hot_through_tracks,
     join_albums,
     join_artists,
     join_tracks,
@@ -37,7 +34,6 @@ def extract_history(
         "name",
         "genres",
         "popularity",
-        hot=lambda: hot_through_tracks(scoped, tracks, "artist_id"),
     )
     return rows.select(
         "event_id",
@@ -67,7 +63,6 @@ def extract_tracks(tracks: DataFrame, artists: DataFrame, albums: DataFrame) ->
         "name",
         "total_tracks",
         "album_type",
-        hot=lambda: hot_keys(tracks, "album_id"),
     )
     return rows.select(
         "track_id",
@@ -133,12 +128,7 @@ def processed_history(
     """Raw plays with artist, album, completion, weekday (Sunday 0), hour and user attributes."""
     ts = F.col("played_at")
     rows = join_tracks(plays.drop("country"), tracks, "artist_id", "album_id", "duration_ms")
-    rows = dim_join(
-        rows,
-        users.select("user_id", "country", "subscription_type"),
-        "user_id",
-        hot=lambda: hot_keys(plays, "user_id"),
-    )
+    rows = rows.join(users.select("user_id", "country", "subscription_type"), "user_id")
     return rows.select(
         F.col("event_id").alias("id"),
         "user_id",

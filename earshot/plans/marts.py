@@ -26,9 +26,6 @@ from earshot.operators.grouping import (
     top_k,
 )
 from earshot.operators.joins import (
-    dim_join,
-    hot_keys,
-    hot_through_tracks,
     join_albums,
     join_artists,
     join_tracks,
@@ -66,7 +63,6 @@ def artist_popularity(
         tracks,
         "name",
         "artist_id",
-        per_key=True,
     )
     totals = per_track.groupBy("artist_id").agg(
         F.sum("total_plays").alias("total_plays"),
@@ -76,14 +72,15 @@ def artist_popularity(
             F.struct("track_id", "track_name"), F.struct(-F.col("total_plays"), "track_id")
         ).alias("top"),
     )
+    pairs = plays.select("track_id", "user_id").distinct()
     listeners = (
-        join_tracks(plays.select("track_id", "user_id"), tracks, "artist_id")
+        join_tracks(pairs, tracks, "artist_id")
         .groupBy("artist_id")
         .agg(F.count_distinct("user_id").alias("unique_listeners"))
     )
     growth = m.growth_percent(F.col("recent"), F.col("previous"))
     merged = totals.join(listeners, "artist_id")
-    return join_artists(merged, artists, "name", per_key=True).select(
+    return join_artists(merged, artists, "name").select(
         "artist_id",
         "artist_name",
         "total_plays",
@@ -117,9 +114,9 @@ def track_popularity(
         F.avg(m.is_true(F.col("skipped")).cast("double")).alias("skip_rate"),
         F.avg("ms_played").alias("avg_ms"),
     )
-    named = join_tracks(per_track, tracks, "name", "artist_id", "duration_ms", per_key=True)
+    named = join_tracks(per_track, tracks, "name", "artist_id", "duration_ms")
     named = join_artists(
-        named, artists, "name", hot=lambda: hot_keys(tracks, "artist_id")
+        named, artists, "name"
     ).withColumn(
         "avg_completion_rate",
         F.coalesce(m.completion_raw(F.col("avg_ms"), F.col("duration_ms")), F.lit(0.0)),
@@ -235,10 +232,10 @@ def top_tracks_weekly(
         .where(F.col("play_count") > 0)
     )
     named = join_tracks(
-        per_track, tracks, "name", "artist_id", "album_id", "duration_ms", per_key=True
+        per_track, tracks, "name", "artist_id", "album_id", "duration_ms"
     )
-    named = join_artists(named, artists, "name", hot=lambda: hot_keys(tracks, "artist_id"))
-    named = join_albums(named, albums, "name", hot=lambda: hot_keys(tracks, "album_id"))
+    named = join_artists(named, artists, "name")
+    named = join_albums(named, albums, "name")
     completion = m.completion_raw(F.col("avg_ms"), F.col("duration_ms"))
     scored = named.withColumns(
         {
@@ -263,23 +260,14 @@ def top_tracks_weekly(
 
 
 def genre_preferences(
-    history: DataFrame,
-    tracks: DataFrame,
-    artists: DataFrame,
-    as_of: Day,
-    window_days: int = 30,
+    history: DataFrame, artists: DataFrame, as_of: Day, window_days: int = 30
 ) -> DataFrame:
     """Plays per user and genre; plays are counted per artist before genres are unfolded."""
     recent = history.where(since(F.col("played_at"), as_of, window_days))
-    per_track = recent.groupBy("user_id", "track_id").agg(F.count(F.lit(1)).alias("n"))
-    tagged = join_tracks(
-        per_track, tracks, "artist_id", hot=lambda: hot_keys(recent, "track_id")
-    )
-    tagged = join_artists(
-        tagged, artists, "genres", hot=lambda: hot_through_tracks(recent, tracks, "artist_id")
-    )
+    per_artist = recent.groupBy("user_id", "artist_id").agg(F.count(F.lit(1)).alias("n"))
     return (
-        tagged.select("user_id", "n", F.explode("genres").alias("genre"))
+        join_artists(per_artist, artists, "genres")
+        .select("user_id", "n", F.explode("genres").alias("genre"))
         .groupBy("user_id", "genre")
         .agg(F.sum("n").alias("genre_plays"))
     )
@@ -306,7 +294,6 @@ def _share(history: DataFrame, column: str, label: str, as_of: Day, days: int) -
 
 def user_listening_patterns(
     history: DataFrame,
-    tracks: DataFrame,
     artists: DataFrame,
     users: DataFrame,
     as_of: Day,
@@ -318,20 +305,35 @@ def user_listening_patterns(
     averages are weighted by plays, as an average over plays joined to their session is.
     """
     recent = history.where(since(F.col("played_at"), as_of, window_days))
+    # Plays that are alike in all facets are one row from here on.
+    alike = recent.groupBy(
+        "user_id",
+        "session_id",
+        "track_id",
+        t.to_day(F.col("played_at")).alias("day"),
+        "hour_of_day",
+        "day_of_week",
+    ).agg(
+        F.count(F.lit(1)).alias("plays"),
+        F.sum("ms_played").alias("ms_played"),
+        F.sum("completion_rate").alias("completion_rate"),
+        F.count("completion_rate").alias("completions"),
+    )
     facets = facet_counts(
-        recent,
+        alike,
         ["user_id"],
         {
             "session": F.col("session_id"),
             "track": F.col("track_id"),
-            "day": t.to_day(F.col("played_at")),
+            "day": F.col("day"),
             "hour": F.col("hour_of_day"),
             "weekday": F.col("day_of_week"),
         },
+        weight=F.col("plays"),
         additive={
             "ms": F.col("ms_played"),
             "completion": F.col("completion_rate"),
-            "completions": F.col("completion_rate").isNotNull().cast("long"),
+            "completions": F.col("completions"),
         },
     )
     n, value = F.col("n"), F.col("value")
@@ -362,7 +364,7 @@ def user_listening_patterns(
         on_weekdays("0", "6").alias("weekend_plays"),
     )
     ranked = top_rank(
-        genre_preferences(history, tracks, artists, as_of, window_days),
+        genre_preferences(history, artists, as_of, window_days),
         ["user_id"],
         F.desc("genre_plays"),
         F.asc("genre"),
@@ -372,7 +374,7 @@ def user_listening_patterns(
     genres = ranked_labels(ranked, "user_id", label, "rank", 3, "top_genres", ", ")
     people = users.select("user_id", "username", "country", "subscription_type")
     return (
-        dim_join(profile.join(genres, "user_id", "left"), people, "user_id", per_key=True)
+        profile.join(genres, "user_id", "left").join(people, "user_id")
         .orderBy(F.desc("active_days"), F.desc("avg_minutes"), "user_id")
         .select(
             "user_id",
@@ -427,11 +429,9 @@ def _top_named(
         tracks,
         "name",
         "artist_id",
-        hot=lambda: hot_keys(plays, "track_id"),
-        per_key=metric == "plays",
     )
     named = join_artists(
-        named, artists, "name", hot=lambda: hot_through_tracks(plays, tracks, "artist_id")
+        named, artists, "name"
     )
     return top_k(named.groupBy(*names).agg(measure.alias("metric")), "metric", k, *names)
 
@@ -439,8 +439,8 @@ def _top_named(
 def most_played_genre(plays: DataFrame, tracks: DataFrame, artists: DataFrame, key: str) -> DataFrame:
     """Genre with the most plays per value of ``key``, a small domain such as the hour."""
     per_track = plays.groupBy(key, "track_id").agg(F.count(F.lit(1)).alias("n"))
-    tagged = join_tracks(per_track, tracks, "artist_id", per_key=True)
-    tagged = join_artists(tagged, artists, "genres", hot=lambda: hot_keys(tracks, "artist_id"))
+    tagged = join_tracks(per_track, tracks, "artist_id")
+    tagged = join_artists(tagged, artists, "genres")
     return (
         tagged.select(key, "n", F.explode("genres").alias("genre"))
         .groupBy(key, "genre")

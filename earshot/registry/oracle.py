@@ -201,7 +201,7 @@ _TABLES: dict[str, str] = {
                CAST(sum(CASE WHEN starts THEN 1 ELSE 0 END)
                     OVER (PARTITION BY user_id ORDER BY played_at) AS BIGINT) AS session_no
         FROM pauses""",
-    "closed_sessions": """
+    "all_sessions": """
         SELECT user_id, min(played_at) AS session_start,
                max(played_at) + INTERVAL 30 MINUTE AS session_end,
                count(*) AS tracks_in_session, CAST(sum(ms_played) AS BIGINT) AS ms_in_session
@@ -301,7 +301,7 @@ _DQ_FK = [
     _fk("tracks", "album_id", "albums"),
     _fk("tracks", "artist_id", "artists"),
     _fk("streaming_history", "user_id", "users"),
-    _fk("streaming_history", "track_id", "tracks", "y.track_id >= 10"),
+    _fk("streaming_history", "track_id", "tracks"),
     _fk("playlists", "user_id", "users"),
     _fk("playlist_tracks", "playlist_id", "playlists"),
     _fk("playlist_tracks", "track_id", "tracks"),
@@ -435,89 +435,81 @@ _ACTIVE_RANGE = """
           FROM days LEFT JOIN seen s ON s.a BETWEEN days.d - 62 AND days.d)
     GROUP BY d"""
 
+# The dayparts of the listening patterns by first hour, in order of precedence on
+# ties (the last one first), and the labels of the reports.
+_DAYPART_LABELS = {
+    "1": "Morning (5AM-11AM)",
+    "2": "Afternoon (12PM-5PM)",
+    "3": "Evening (6PM-11PM)",
+    "4": "Night (12AM-4AM)",
+}
+_WEEK_LABELS = ("Weekday Listener", "Weekend Listener")
+_LISTENER_LABELS = ("Heavy Listener", "Regular Listener", "Casual Listener", "Mixed Pattern")
+_TREND_LABELS = ("New", "Trending Up", "Falling", "Stable")
+
 _PATTERNS = f"""
-    WITH recent AS (SELECT * FROM history WHERE played_at >= {AS_OF} - 30),
-    user_sessions AS (
-      SELECT user_id, session_id, count(*) AS tracks_in_session,
-             sum(ms_played) / 60000.0::DOUBLE AS session_minutes
-      FROM recent GROUP BY ALL),
-    user_summary AS (
-      SELECT u.user_id, u.username, u.country, u.subscription_type,
-             count(DISTINCT CAST(r.played_at AS DATE)) AS active_days,
-             count(DISTINCT r.track_id) AS unique_tracks,
-             avg(r.completion_rate) AS avg_completion_rate,
-             avg(s.session_minutes) AS avg_session_minutes,
-             avg(s.tracks_in_session) AS avg_tracks_per_session,
-             count(DISTINCT s.session_id) AS total_sessions
-      FROM recent r JOIN users u USING (user_id)
-      LEFT JOIN user_sessions s ON r.user_id = s.user_id AND r.session_id = s.session_id
-      GROUP BY ALL),
-    genres AS (
-      SELECT user_id, string_agg(genre || ' (' || genre_plays || ')', ', ' ORDER BY rk) AS top_genres
-      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY genre_plays DESC, genre) AS rk
-            FROM user_genres) AS g
-      WHERE rk <= 3 GROUP BY user_id),
-    hours AS (
-      SELECT user_id,
-             max(CASE WHEN hour_of_day BETWEEN 5 AND 11 THEN share ELSE 0 END) AS morning,
-             max(CASE WHEN hour_of_day BETWEEN 12 AND 17 THEN share ELSE 0 END) AS afternoon,
-             max(CASE WHEN hour_of_day BETWEEN 18 AND 23 THEN share ELSE 0 END) AS evening,
-             max(CASE WHEN hour_of_day BETWEEN 0 AND 4 THEN share ELSE 0 END) AS night
-      FROM (SELECT user_id, hour_of_day,
-                   count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY user_id) AS share
-            FROM recent GROUP BY user_id, hour_of_day)
+    WITH grain AS MATERIALIZED (
+      SELECT user_id, session_id, track_id, played_at::DATE AS at_day, hour_of_day AS at_hour,
+             day_of_week IN (0, 6) AS off, count(*) AS n, sum(ms_played) AS ms,
+             sum(completion_rate) AS done, count(completion_rate) AS n_done
+      FROM history WHERE played_at >= {AS_OF} - 30 GROUP BY ALL),
+    best_part AS (
+      SELECT user_id, part FROM (
+        SELECT user_id, at_hour, sum(n) AS n,
+               CASE WHEN at_hour < 5 THEN 4 WHEN at_hour < 12 THEN 1
+                    WHEN at_hour < 18 THEN 2 ELSE 3 END AS part
+        FROM grain GROUP BY user_id, at_hour)
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, part DESC) = 1),
+    liked AS (
+      SELECT user_id, array_to_string(list_transform(
+               list(struct_pack(n := -genre_plays, g := genre) ORDER BY genre_plays DESC, genre)[1:3],
+               lambda x: x.g || ' (' || -x.n || ')'), ', ') AS top_genres
+      FROM user_genres GROUP BY user_id),
+    sat AS (
+      SELECT user_id, count(*) AS total_sessions, sum(n * minutes) / sum(n) AS minutes,
+             sum(n * n) / sum(n) AS songs
+      FROM (SELECT user_id, session_id, sum(n) AS n, sum(ms) / 60000.0::DOUBLE AS minutes
+            FROM grain WHERE session_id IS NOT NULL GROUP BY ALL)
       GROUP BY user_id),
-    weekdays AS (
-      SELECT user_id, count(*) FILTER (day_of_week IN (1, 2, 3, 4, 5)) AS wd,
-             count(*) FILTER (day_of_week IN (0, 6)) AS we
-      FROM recent GROUP BY user_id)
-    SELECT s.user_id, s.username, s.country, s.subscription_type, s.active_days, s.unique_tracks,
-           round(s.avg_completion_rate * 100, 2) AS avg_completion_percentage,
-           round(s.avg_session_minutes, 2) AS avg_session_minutes,
-           round(s.avg_tracks_per_session, 2) AS avg_tracks_per_session, s.total_sessions,
-           g.top_genres,
-           CASE WHEN morning > afternoon AND morning > evening AND morning > night
-                  THEN 'Morning (5AM-11AM)'
-                WHEN afternoon > evening AND afternoon > night THEN 'Afternoon (12PM-5PM)'
-                WHEN evening > night THEN 'Evening (6PM-11PM)'
-                ELSE 'Night (12AM-4AM)' END AS preferred_time_of_day,
-           CASE WHEN wd > we THEN 'Weekday Listener' ELSE 'Weekend Listener' END
-             AS weekday_weekend_preference,
-           CASE WHEN s.avg_session_minutes > 60 AND s.active_days > 20 THEN 'Heavy Listener'
-                WHEN s.avg_session_minutes BETWEEN 30 AND 60 AND s.active_days BETWEEN 10 AND 20
-                  THEN 'Regular Listener'
-                WHEN s.avg_session_minutes < 30 AND s.active_days < 10 THEN 'Casual Listener'
-                ELSE 'Mixed Pattern' END AS listener_type
-    FROM user_summary s LEFT JOIN genres g USING (user_id) LEFT JOIN hours USING (user_id)
-         LEFT JOIN weekdays USING (user_id)"""
+    days AS (
+      SELECT user_id, count(DISTINCT at_day) AS active_days,
+             count(DISTINCT track_id) AS unique_tracks, sum(done) / sum(n_done) AS done,
+             sum(CASE WHEN off THEN -n ELSE n END) > 0 AS works
+      FROM grain GROUP BY user_id)
+    SELECT user_id, username, country, subscription_type, active_days, unique_tracks,
+           round(done * 100, 2) AS avg_completion_percentage,
+           round(minutes, 2) AS avg_session_minutes, round(songs, 2) AS avg_tracks_per_session,
+           coalesce(total_sessions, 0) AS total_sessions, top_genres,
+           map({_list(list(_DAYPART_LABELS))}, {_list(list(_DAYPART_LABELS.values()))})[part::VARCHAR]
+             AS preferred_time_of_day,
+           {_list(list(_WEEK_LABELS))}[if(works, 1, 2)] AS weekday_weekend_preference,
+           {_list(list(_LISTENER_LABELS))}[coalesce(list_position([
+             minutes > 60 AND active_days > 20,
+             minutes >= 30 AND minutes <= 60 AND active_days >= 10 AND active_days <= 20,
+             minutes < 30 AND active_days < 10], TRUE), 4)] AS listener_type
+    FROM days JOIN users USING (user_id) LEFT JOIN sat USING (user_id)
+         LEFT JOIN best_part USING (user_id) LEFT JOIN liked USING (user_id)"""
 
 _WEEKLY = f"""
-    WITH weekly AS (
-      SELECT t.track_id, t.name AS track_name, a.name AS artist_name, al.name AS album_name,
-             count(*) AS play_count, count(DISTINCT p.user_id) AS unique_listeners,
-             sum(p.ms_played) / 60000.0::DOUBLE AS total_minutes_played,
-             avg(p.ms_played::DOUBLE / t.duration_ms) AS completion,
-             count(*) FILTER (p.skipped) / count(*) AS skip_rate
-      FROM plays p JOIN tracks t USING (track_id) JOIN artists a USING (artist_id)
-           JOIN albums al USING (album_id)
-      WHERE p.played_at >= {AS_OF} - 7 AND p.played_at < {AS_OF} GROUP BY ALL),
-    previous AS (
-      SELECT track_id, count(*) AS prev FROM plays
-      WHERE played_at >= {AS_OF} - 14 AND played_at < {AS_OF} - 7 GROUP BY ALL)
-    SELECT track_id, track_name, artist_name, album_name, play_count, unique_listeners,
-           round(total_minutes_played, 6) AS total_minutes_played,
-           round(completion * 100, 2) AS completion_percentage,
-           round(skip_rate * 100, 2) AS skip_percentage,
-           round(play_count * 0.4::DOUBLE + unique_listeners * 0.3::DOUBLE
-                 + completion * 100 * 0.3::DOUBLE, 2) AS trending_score,
-           coalesce(play_count - prev, play_count) AS weekly_change,
-           CASE WHEN prev IS NULL OR prev = 0 THEN 'New'
-                WHEN (play_count - prev) * 100.0 / prev >= 50 THEN 'Trending Up'
-                WHEN (play_count - prev) * 100.0 / prev <= -30 THEN 'Falling'
-                ELSE 'Stable' END AS trend_status
-    FROM weekly LEFT JOIN previous USING (track_id)
-    ORDER BY play_count * 0.4::DOUBLE + unique_listeners * 0.3::DOUBLE
-             + completion * 100 * 0.3::DOUBLE DESC, track_id LIMIT 100"""
+    SELECT track_id, t.name AS track_name, a.name AS artist_name, al.name AS album_name,
+           n AS play_count, listeners AS unique_listeners,
+           round(ms / 60000.0::DOUBLE, 6) AS total_minutes_played,
+           round(ms::DOUBLE / n / duration_ms * 100, 2) AS completion_percentage,
+           round(skips / n * 100, 2) AS skip_percentage, round(score, 2) AS trending_score,
+           n - n_before AS weekly_change,
+           {_list(list(_TREND_LABELS))}[CASE WHEN n_before = 0 THEN 1 WHEN 2 * n >= 3 * n_before
+             THEN 2 WHEN 10 * n <= 7 * n_before THEN 3 ELSE 4 END] AS trend_status
+    FROM (SELECT track_id, count_if(fresh) AS n, count_if(NOT fresh) AS n_before,
+                 count(DISTINCT if(fresh, user_id, NULL)) AS listeners,
+                 sum(if(fresh, ms_played, 0)) AS ms, count_if(fresh AND skipped) AS skips
+          FROM (SELECT *, played_at >= {AS_OF} - 7 AS fresh FROM plays
+                WHERE played_at >= {AS_OF} - 14 AND played_at < {AS_OF})
+          GROUP BY track_id) counted
+    JOIN tracks t USING (track_id) JOIN artists a USING (artist_id) JOIN albums al USING (album_id),
+    LATERAL (SELECT n * 0.4::DOUBLE + listeners * 0.3::DOUBLE
+                    + ms::DOUBLE / n / duration_ms * 100 * 0.3::DOUBLE AS score)
+    WHERE n > 0
+    ORDER BY score DESC, track_id LIMIT 100"""
 
 _STATS = """
     SELECT c.user_id, c.unique_tracks_played,
@@ -859,7 +851,7 @@ _SQL: dict[str, str] = {
                      THEN least(1.0::DOUBLE, p.ms_played::DOUBLE / t.duration_ms) ELSE 0.0 END, 6)
                  AS completion_rate
         FROM plays p
-        LEFT JOIN (SELECT * FROM tracks WHERE track_id % 2 = 0) t ON t.track_id = p.track_id
+        LEFT JOIN tracks t ON t.track_id = p.track_id
         LEFT JOIN artists a ON a.artist_id = t.artist_id
         LEFT JOIN albums al ON al.album_id = t.album_id""",
     "upsert_result": f"""
@@ -930,14 +922,32 @@ _SQL: dict[str, str] = {
                  ELSE 'system_errors' END AS table_name, count(*) AS rows
         FROM feed GROUP BY 1""",
     "stream_sessions": """
-        SELECT * FROM closed_sessions
-        WHERE session_end <= (SELECT date_trunc('millisecond', max(played_at)) FROM plays)
-                             - INTERVAL 10 MINUTE""",
+        SELECT * FROM all_sessions""",
     "stream_dedupe": """
         SELECT CASE event_type WHEN 'song_play' THEN 'song_plays' WHEN 'auth' THEN 'auth_events'
                  WHEN 'search' THEN 'search_events' WHEN 'playlist' THEN 'playlist_events'
                  ELSE 'system_errors' END AS table_name, count(*) AS record_count
         FROM feed GROUP BY 1""",
+    "stream_ingest_accounting": """
+        SELECT CASE event_type WHEN 'song_play' THEN 'song_plays' WHEN 'auth' THEN 'auth_events'
+                 WHEN 'search' THEN 'search_events' WHEN 'playlist' THEN 'playlist_events'
+                 ELSE 'system_errors' END AS table_name, count(*) AS record_count
+        FROM feed GROUP BY 1
+        UNION ALL SELECT 'quarantine', count(*) FROM feed""",
+    "stream_report": """
+        SELECT 'totals' AS section, 'song_plays_count' AS key, count(*) AS value
+        FROM feed WHERE event_type = 'song_play'
+        UNION ALL SELECT 'totals', 'unique_users', count(DISTINCT user_id)
+        FROM feed WHERE event_type <> 'error'
+        UNION ALL SELECT 'totals', 'unique_songs', count(DISTINCT k)
+        FROM feed WHERE event_type = 'song_play'
+        UNION ALL SELECT * FROM (SELECT 'platforms', platform, count(*) FROM feed
+                                 GROUP BY platform ORDER BY 3 DESC, 2 LIMIT 5)
+        UNION ALL SELECT * FROM (SELECT 'searches', search_query, count(*) FROM feed
+                                 WHERE event_type = 'search'
+                                 GROUP BY search_query ORDER BY 3 DESC, 2 LIMIT 5)
+        UNION ALL SELECT 'errors', error_type, count(*) FROM feed
+        WHERE event_type = 'error' GROUP BY error_type""",
     "table_counts": _counts(
         {
             "raw.users": "users",
@@ -968,6 +978,7 @@ _SQL: dict[str, str] = {
         ]
     ),
     "dq_invariants": _invariants(),
+    "dq_checks": _union([*_DQ_UNIQUE, *_DQ_NOT_NULL, *_DQ_FK, *_DQ_OTHER]),
     "dq_report": f"""
         SELECT count(*) AS total_checks, count(*) FILTER (status = 'success') AS passed_checks,
                round(count(*) FILTER (status = 'success') * 100.0::DOUBLE / count(*), 6)
@@ -977,7 +988,7 @@ _SQL: dict[str, str] = {
         SELECT d AS date FROM (
           SELECT CAST(unnest(generate_series(TIMESTAMP '2023-12-25', TIMESTAMP '2024-02-05',
                                              INTERVAL 1 DAY)) AS DATE) AS d)
-        WHERE d NOT IN (SELECT CAST(played_at AS DATE) FROM plays WHERE track_id = 7)""",
+        WHERE d NOT IN (SELECT CAST(played_at AS DATE) FROM plays)""",
     "duplicates": """
         SELECT playlist_id, track_id, count(*) AS rows FROM playlist_tracks
         GROUP BY playlist_id, track_id HAVING count(*) > 1""",

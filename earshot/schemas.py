@@ -6,45 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-USERS = """user_id string, username string, email string, country string, joined_at timestamp,
-    birth_year int, gender string, subscription_type string, is_active boolean, last_active timestamp"""
-
-ARTISTS = """artist_id string, name string, popularity int, genres array<string>, followers int,
-    external_url string"""
-
-ALBUMS = """album_id string, name string, artist_id string, release_date date, total_tracks int,
-    album_type string, popularity int, genres array<string>"""
-
 TRACKS = """track_id string, name string, album_id string, artist_id string, duration_ms int,
     explicit boolean, track_number int, popularity int, danceability double, energy double, `key` int,
     loudness double, mode int, speechiness double, acousticness double, instrumentalness double,
     liveness double, valence double, tempo double, time_signature int"""
 
-PLAYLISTS = """playlist_id string, name string, user_id string, description string, is_public boolean,
-    created_at timestamp, last_modified timestamp, follower_count int, track_count int"""
-
-PLAYLIST_TRACKS = """playlist_id string, track_id string, added_at timestamp, added_by string,
-    position int"""
-
-STREAMING_EVENT = """event_id string, user_id string, track_id string, timestamp timestamp,
-    ms_played int, reason_start string, reason_end string, shuffle boolean, skipped boolean,
-    platform string, country string"""
-
-STREAMING_HISTORY = """id bigint, user_id string, track_id string, played_at timestamp, ms_played int,
-    session_id string, device string, reason_start string, reason_end string, shuffle boolean,
-    skipped boolean, offline boolean, incognito_mode boolean"""
-
-PROCESSED_HISTORY = """id bigint, user_id string, track_id string, artist_id string, album_id string,
-    played_at timestamp, ms_played int, completion_rate double, day_of_week int, hour_of_day int,
-    skipped boolean, session_id string, country string, subscription_type string,
-    processed_at timestamp"""
-
-REAL_TIME_METRICS = """metric_type string, entity_id string, metadata string, count bigint,
-    last_updated timestamp"""
-
-SYSTEM_ERRORS = """error_id string, service string, error_code string, error_message string,
-    timestamp timestamp, created_at timestamp"""
-
 PIPELINE_EXECUTIONS = """pipeline_name string, environment string, status string,
     start_time timestamp, end_time timestamp, duration_seconds bigint, records_processed bigint,
     execution_date date"""

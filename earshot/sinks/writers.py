@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from earshot.functions.time import day as day_literal
 from earshot.functions.time import seconds_between
@@ -17,6 +19,16 @@ BATCH_SIZE = 1000
 BUCKETS = 10
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The Parquet table at ``path``, or an empty one if nothing has been written there."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **properties) -> None:
     """Append aggregates to a database table; each task is one transaction."""
     df.write.format("jdbc").option("url", url).option("dbtable", table).option(
@@ -75,33 +87,62 @@ def materialize(
     writer.saveAsTable(name)
 
 
-def create_view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
+CURRENT = "_current"
 
 
-def publish(df: DataFrame, base_path: str, view: str) -> str:
-    """Write ``df`` to a new folder, then point ``view`` to it.
+def publish(df: DataFrame, base_path: str, view: str | None = None) -> str:
+    """Write ``df`` to a new folder, then make it the current version of the table.
 
-    Readers of the view see the old rows or the new ones, never a half-written folder, and
-    ``df`` may itself read the view's current folder.
+    The number of the version is recorded in a small table below ``base_path``, so a later
+    session finds it; readers see the old rows or the new ones, never a half-written
+    folder, and ``df`` may itself read the current version.
     """
-    path = f"{base_path.rstrip('/')}/version={uuid.uuid4().hex}"
-    df.write.parquet(path)
-    df.sparkSession.read.parquet(path).createOrReplaceTempView(view)
-    return path
+    spark, base = df.sparkSession, base_path.rstrip("/")
+    name = uuid.uuid4().hex
+    df.write.parquet(f"{base}/version={name}")
+    numbers = _versions(spark, base)
+    number = (numbers.agg(F.max("number")).first()[0] or 0) + 1
+    entry = spark.range(1).select(F.lit(number).alias("number"), F.lit(name).alias("version"))
+    entry.coalesce(1).write.mode("append").parquet(f"{base}/{CURRENT}")
+    if view:
+        current_version(spark, base).createOrReplaceTempView(view)
+    return f"{base}/version={name}"
+
+
+def _versions(spark: SparkSession, base: str) -> DataFrame:
+    return read_or_empty(spark, f"{base}/{CURRENT}", "number int, version string")
+
+
+def current_version(spark: SparkSession, base_path: str) -> DataFrame:
+    """The rows that were published last, in this session or another."""
+    base = base_path.rstrip("/")
+    last = _versions(spark, base).orderBy(F.desc("number"), F.desc("version")).first()
+    if last is None:
+        raise FileNotFoundError(f"nothing has been published at {base}")
+    return spark.read.parquet(f"{base}/version={last['version']}")
 
 
 def upsert_table(
     spark: SparkSession,
-    view: str,
     base_path: str,
     updates: DataFrame,
     keys: list[str],
     update_cols: list[str] | None = None,
+    view: str | None = None,
 ) -> str:
-    """Upsert into the table behind ``view`` and publish the merged version."""
-    merged = changes.upsert(spark.table(view), updates, keys, update_cols)
-    return publish(merged, base_path, view)
+    """Upsert into the current version of a table and publish the merged one.
+
+    An absent table counts as empty.
+    """
+    try:
+        target = current_version(spark, base_path)
+    except FileNotFoundError:
+        target = updates.limit(0)
+    return publish(changes.upsert(target, updates, keys, update_cols), base_path, view)
+
+
+#: Partitions that one upsert may touch and still name them in its read.
+MOST_PARTITIONS = 10_000
 
 
 def upsert_partitions(
@@ -109,11 +150,16 @@ def upsert_partitions(
 ) -> None:
     """Upsert into Parquet partitioned by a key column, rewriting only the touched partitions.
 
-    The semi join prunes the read to those partitions; the dynamic overwrite replaces them
-    when all tasks are done.
+    The touched partition values are looked up first and named in the read, so the others
+    are not scanned.  The dynamic overwrite replaces them when all tasks are done.  An absent
+    target counts as empty.
     """
-    touched = updates.select(partition).distinct()
-    target = updates.sparkSession.read.parquet(path).join(touched, partition, "left_semi")
+    touched = updates.select(partition).distinct().limit(MOST_PARTITIONS + 1).collect()
+    target = read_or_empty(updates.sparkSession, path, updates.schema)
+    if len(touched) <= MOST_PARTITIONS:
+        target = target.where(F.col(partition).isin([row[0] for row in touched]))
+    else:
+        target = target.join(updates.select(partition).distinct(), partition, "left_semi")
     write_partitioned(
         changes.upsert(target.select(*updates.columns), updates, keys), path, [partition]
     )
@@ -121,24 +167,30 @@ def upsert_partitions(
 
 def append_new(path: str, batch: DataFrame, keys: list[str], *order) -> DataFrame:
     """Insert if absent: append rows whose key the Parquet target does not have yet."""
-    target = batch.sparkSession.read.parquet(path)
+    target = read_or_empty(batch.sparkSession, path, batch.schema)
     fresh = changes.insert_new(target, batch, keys, *order)
     fresh.write.mode("append").parquet(path)
     return fresh
 
 
-def load_staged(staging_path: str, final_path: str, d: str | dt.date) -> None:
+def load_staged(
+    staging_path: str, final_path: str, d: str | dt.date, schema: StructType | str | None = None
+) -> None:
     """Load one staged day into the final table, then empty its staging partition.
 
-    A repeated run finds no staged rows and leaves the loaded day alone.
+    A repeated run finds no staged rows and leaves the loaded day alone, also if no other day
+    is staged.  ``schema`` is that of the staging table; without it the files there tell it.
     """
     spark = SparkSession.active()
-    staging = spark.read.parquet(staging_path)
-    loaded = changes.load_staged(staging, day_literal(d))
-    write_partitioned(loaded, final_path, ["date"])
     folder = f"{staging_path.rstrip('/')}/date={d}"
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     filesystem = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not filesystem.exists(hadoop_path):
+        return
+    reader = spark.read.option("basePath", staging_path)
+    staging = (reader.schema(schema) if schema else reader).parquet(folder)
+    loaded = changes.load_staged(staging, day_literal(d))
+    write_partitioned(loaded, final_path, ["date"])
     filesystem.delete(hadoop_path, True)
 
 

@@ -44,19 +44,25 @@ def is_known() -> Column:
     return F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False))
 
 
+def is_storable() -> Column:
+    """Whether an event belongs to one of the tables: known type, an id and a readable time."""
+    return is_known() & F.col("event_ts").isNotNull() & F.col("event_id").isNotNull()
+
+
 def quarantine(events: DataFrame) -> DataFrame:
-    """Undecodable text, unknown event types and events without a readable time."""
+    """Undecodable text, unknown event types, events without a readable time or without an id."""
     undecodable = ~is_known() & F.get_json_object("raw_data", "$").isNull()
     reason = (
         F.when(undecodable, "undecodable")
         .when(~is_known(), "unknown event type")
         .when(F.col("event_ts").isNull(), "unreadable timestamp")
+        .when(F.col("event_id").isNull(), "missing id")
     )
     return events.select("raw_data", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def accepted(events: DataFrame, event_type: str) -> DataFrame:
-    return of_type(events, event_type).where(F.col("event_ts").isNotNull())
+    return of_type(events, event_type).where(is_storable())
 
 
 def platform() -> Column:
@@ -164,6 +170,5 @@ def route_counts(events: DataFrame) -> DataFrame:
         EVENT_TYPES,
         F.lit("quarantine"),
     )
-    placed = is_known() & F.col("event_ts").isNotNull()
-    target = F.when(placed, table).otherwise("quarantine").alias("table_name")
+    target = F.when(is_storable(), table).otherwise("quarantine").alias("table_name")
     return events.groupBy(target).agg(F.count(F.lit(1)).alias("rows"))

@@ -8,10 +8,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from earshot.operators.changes import dedupe_first
-from earshot.sinks.writers import write_partitioned
-from earshot.streaming.decode import TABLES, decode_events, route
+from earshot.sinks.writers import read_or_empty, write_partitioned
+from earshot.streaming.decode import TABLES, decode_events, is_storable, route
 
 WATERMARK = "1 hour"
 
@@ -19,29 +20,18 @@ WATERMARK = "1 hour"
 def dedupe(events: DataFrame, key: str = "event_id", watermark: str = WATERMARK) -> DataFrame:
     """Drop repeated events inside a stream with bounded state.
 
-    Events later than the watermark are dropped too; ``start_ingest`` does not use this and
-    compares with the stored rows instead, so that nothing is lost.
+    Events later than the watermark are dropped too; ``start_ingest`` uses ``once_per_id``
+    instead, so that nothing is lost.
     """
     return events.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark([key])
 
 
-def _stored_keys(
-    spark: SparkSession, path: str, key: str, days: DataFrame, batch_id: int
-) -> DataFrame | None:
-    """Keys that earlier batches stored for the days of this batch; None before the first."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    stored = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
-    return stored.join(days, "date", "left_semi").select(key)
-
-
 def write_event_batch(base_path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing each event type to its own Parquet table.
 
-    Tables are partitioned by event date and batch.  Rows already stored by earlier batches
-    are left out (only the batch's own dates are read for that), and a repeated batch
-    replaces its own partitions, so a restart neither loses nor repeats rows.
+    Tables are partitioned by event date and batch, and no table is read: repeated events
+    are left out by ``once_per_id`` before.  A repeated batch replaces its own partitions, so a
+    restart neither loses nor repeats rows.  A type without rows in the batch writes nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -49,33 +39,54 @@ def write_event_batch(base_path: str) -> Callable[[DataFrame, int], None]:
         try:
             for kind, rows in route(batch).items():
                 path = f"{base_path}/{TABLES.get(kind, kind)}"
+                stamped = rows.withColumn("batch_id", F.lit(batch_id))
                 if kind == "quarantine":
-                    stamped = rows.withColumn("batch_id", F.lit(batch_id))
                     write_partitioned(stamped, path, ["batch_id"])
                     continue
-                key = rows.columns[0]
-                fresh = dedupe_first(rows, [key], F.col("timestamp")).withColumn(
+                dated = dedupe_first(stamped, [rows.columns[0]], F.col("timestamp")).withColumn(
                     "date", F.to_date("timestamp")
                 )
-                days = fresh.select("date").distinct()
-                stored = _stored_keys(batch.sparkSession, path, key, days, batch_id)
-                if stored is not None:
-                    fresh = fresh.join(stored, key, "left_anti")
-                write_partitioned(
-                    fresh.withColumn("batch_id", F.lit(batch_id)), path, ["date", "batch_id"]
-                )
+                write_partitioned(dated, path, ["date", "batch_id"])
         finally:
             batch.unpersist()
 
     return write
 
 
+def once_per_id(events: DataFrame) -> DataFrame:
+    """Events of a stream with each (type, id) passed on once, whenever and with whatever time
+    it is delivered again; events that go to quarantine are all kept.
+
+    The ids seen are the query's state, which is looked up by key (with the RocksDB provider on
+    local disk), so a batch costs its own rows and not the stored ones.
+    """
+    storable = events.where(is_storable()).dropDuplicates(["event_type", "event_id"])
+    return storable.unionByName(events.where(~F.coalesce(is_storable(), F.lit(False))))
+
+
+def table_schemas(spark: SparkSession) -> dict[str, StructType]:
+    """The schema of each ingest table, whether or not it has rows yet."""
+    events = decode_events(spark.createDataFrame([], "value string"))
+    schemas = {}
+    for kind, rows in route(events).items():
+        stamped = rows.withColumn("batch_id", F.lit(0))
+        if kind != "quarantine":
+            stamped = stamped.withColumn("date", F.to_date("timestamp"))
+        schemas[TABLES.get(kind, kind)] = stamped.schema
+    return schemas
+
+
+def read_ingested(spark: SparkSession, base_path: str, name: str) -> DataFrame:
+    """One of the tables that the ingest has written; empty if it has no rows yet."""
+    return read_or_empty(spark, f"{base_path}/{name}", table_schemas(spark)[name])
+
+
 def start_ingest(
     feed: DataFrame, base_path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Decode, route, drop duplicates and write; progress is kept in the checkpoint."""
+    """Decode, drop repeated ids, route and write; progress and ids are kept in the checkpoint."""
     return (
-        decode_events(feed)
+        once_per_id(decode_events(feed))
         .writeStream.foreachBatch(write_event_batch(base_path))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
@@ -108,15 +119,56 @@ def write_counter_batch(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_counters(spark: SparkSession, path: str) -> DataFrame:
-    """Current counters: the sum of all stored deltas."""
+COUNTERS = "metric_type string, entity_id string, count long, batch_id int"
+
+
+def compact_counters(spark: SparkSession, path: str, before: int) -> None:
+    """Sum the deltas of the batches below ``before`` into a folder of their own.
+
+    The sums carry the last batch they hold, and ``read_counters`` passes over deltas up to it,
+    so a run that breaks off between writing and a later clean-up counts nothing twice.
+    """
+    sums = read_counters(spark, path, before)
+    sums.write.mode("overwrite").parquet(f"{path}-sums/upto={before - 1}")
+
+
+def read_counters(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """Current counters: the last sums and all deltas stored since."""
+    sums = read_or_empty(
+        spark, f"{path}-sums", "metric_type string, entity_id string, count long, upto int"
+    )
+    last = sums.agg(F.max("upto")).first()[0]
+    deltas = read_or_empty(spark, path, COUNTERS)
+    if last is not None:
+        deltas = deltas.where(F.col("batch_id") > last)
+    if before is not None:
+        deltas = deltas.where(F.col("batch_id") < before)
+    kept = ["metric_type", "entity_id", "count"]
     return (
-        spark.read.parquet(path)
+        sums.where(F.col("upto") == F.lit(last)).select(*kept)
+        .unionByName(deltas.select(*kept))
         .groupBy("metric_type", "entity_id")
         .agg(F.sum("count").alias("count"))
     )
 
 
+def with_end_of_input(stream: DataFrame, path: str, time: str, **marker) -> DataFrame:
+    """``stream`` and, from a file at ``path``, one row whose ``time`` column is far ahead.
+
+    Once it has been read, the watermark has passed all other rows, so whatever is still
+    open is emitted; the marker itself stays open and never is.
+    """
+    spark = stream.sparkSession
+    schema = stream.schema
+    values = [
+        F.lit("2999-01-01").cast(f.dataType) if f.name == time else F.lit(marker.get(f.name)).cast(f.dataType)
+        for f in schema
+    ]
+    row = spark.range(1).select(*[v.alias(f.name) for v, f in zip(values, schema, strict=True)])
+    row.write.mode("overwrite").parquet(path)
+    return stream.unionByName(spark.readStream.schema(schema).parquet(path))
+
+
 def stream_sessions(plays: DataFrame, gap: str = "30 minutes", watermark: str = "10 minutes"):
     """Sessions of a play stream, emitted once the watermark has passed their end.
 

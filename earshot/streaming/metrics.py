@@ -7,8 +7,9 @@ update output; their state grows with the distinct keys, as "since the start" im
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -82,6 +83,52 @@ def top_of(counts: DataFrame, key: str, n: int = REPORT_TOP) -> DataFrame:
     return top_k(counts, measure, n, key)
 
 
+def report_members(events: DataFrame) -> DataFrame:
+    """(section, key, member, n): what one running report counts, from one reading of the feed.
+
+    Rows with a member stand for a distinct count of their key, rows without one for a plain
+    count.
+    """
+    plays, searches = F.col("event_type") == "song_play", F.col("event_type") == "search"
+    errors = F.col("event_type") == "error"
+    nobody = F.lit(None).cast("string")
+
+    def row(section: str, key: Column, member: Column, where: Column) -> Column:
+        return F.when(
+            where,
+            F.struct(
+                F.lit(section).alias("section"), key.alias("key"), member.alias("member")
+            ),
+        )
+
+    rows = F.array_compact(
+        F.array(
+            row("totals", F.lit("song_plays_count"), nobody, plays),
+            row("totals", F.lit("unique_users"), F.col("user_id"), ~errors & F.col("user_id").isNotNull()),
+            row("totals", F.lit("unique_songs"), F.col("song_id"), plays & F.col("song_id").isNotNull()),
+            row("platforms", platform(), nobody, F.lit(True)),
+            row("searches", normalize_query(F.col("search_query")), nobody, searches),
+            row("errors", F.coalesce("error_type", F.lit("unknown")), nobody, errors),
+        )
+    )
+    return known(events).select(F.inline(rows)).groupBy("section", "key", "member").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def report(members: DataFrame, top: int = REPORT_TOP) -> DataFrame:
+    """(section, key, value): totals, most used platforms, most frequent queries, all errors."""
+    counts = members.groupBy("section", "key").agg(
+        F.when(F.count("member") > 0, F.count("member")).otherwise(F.sum("n")).alias("value")
+    )
+    parts = [counts.where(F.col("section").isin("totals", "errors"))]
+    parts += [
+        top_k(counts.where(F.col("section") == section), "value", top, "key")
+        for section in ("platforms", "searches")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def metrics_query(
     events: DataFrame,
     metric: Callable[[DataFrame], DataFrame],

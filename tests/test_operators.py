@@ -27,38 +27,31 @@ def skewed(spark, n=3000):
     return spark.createDataFrame(data, "id long, track_id string, v long")
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_salted_join_equals_plain_join(spark, how):
-    fact = skewed(spark)
-    dim = spark.createDataFrame(
-        [("hot", 1), *[(f"k{i}", i) for i in range(30)]], "track_id string, w int"
-    )
-    assert rows(joins.salted_join(fact, dim, "track_id", how)) == rows(
-        fact.join(dim, "track_id", how)
-    )
-
-
-def test_salted_join_spreads_the_hot_key(spark, shuffled_joins):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_a_hot_key_is_split_by_its_size(spark, shuffled_joins):
+    """A third of the rows on one track: no task of the join gets all of them."""
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
     try:
-        fact = skewed(spark)
-        dim = spark.createDataFrame([("hot", 1)], "track_id string, w int")
-        joined = joins.dim_join(fact, dim, "track_id").withColumn("p", F.spark_partition_id())
-        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
-        assert sum(sizes) == 1000 and max(sizes) < 600
+        plays = spark.range(120_000, numPartitions=32).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("track_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        tracks = spark.range(120_000).select(F.col("id").alias("track_id"), F.lit("a").alias("artist_id"))
+        joined = joins.join_tracks(plays, tracks, "artist_id")
+        placed = joined.withColumn("p", F.spark_partition_id()).groupBy("p")
+        sizes = [r["n"] for r in placed.agg(F.count("*").alias("n"), F.max("payload")).collect()]
+        assert sum(sizes) == 120_000
+        assert max(sizes) < 40_000
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_broadcast_is_size_checked(spark, canonical, shuffled_joins):
-    assert not joins.broadcastable(canonical.tracks)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    assert joins.broadcastable(canonical.tracks)
-    assert not joins.broadcastable(spark.range(10_000_000))
-
-
-def test_hot_keys_are_the_most_frequent(spark):
-    assert ("hot",) in rows(joins.hot_keys(skewed(spark), "track_id"))
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_fill_spine_and_trend(spark):
@@ -78,7 +71,14 @@ def test_rank_all_equals_row_number(spark):
     df = spark.createDataFrame(data, "date date, track_id string, n long").repartition(7)
     order = [F.desc("n"), F.asc("track_id")]
     expected = rows(windows.rank_within(df, ["date"], *order), "date", "track_id", "rank")
-    assert rows(windows.rank_all(df, ["date"], *order), "date", "track_id", "rank") == expected
+    assert rows(windows.rank_all(df, ["date"], "n", "track_id"), "date", "track_id", "rank") == expected
+    numbers = spark.range(20_000).select(
+        F.lit("d").alias("date"), F.col("id").alias("track_id"), (F.col("id") % 2).alias("n")
+    )
+    ranked = windows.rank_all(numbers, ["date"], "n", "track_id")
+    assert ranked.where("n = 1").agg(F.max("rank")).first()[0] == 10_000
+    wrong = ranked.where("rank <> if(n = 1, (track_id + 1) / 2, 10000 + track_id / 2 + 1)")
+    assert wrong.count() == 0
 
 
 def test_streaks(spark):
@@ -300,3 +300,34 @@ def test_require_rows(canonical):
     assert quality.require_rows_for_date(canonical.plays, "2024-01-05") > 0
     with pytest.raises(ValueError):
         quality.require_rows_for_date(canonical.plays, "2025-01-05")
+
+
+def test_sessionize_keeps_plays_without_user_or_time(spark):
+    data = [(1, "u", ts(1, 10), 5), (2, None, ts(1, 10), 5), (3, "u", None, 5), (4, "u", ts(1, 10, 20), 5)]
+    plays = spark.createDataFrame(data, "event_id int, user_id string, played_at timestamp, ms_played int")
+    got = {r.event_id: r.session_no for r in sessions.sessionize(plays).collect()}
+    assert set(got) == {1, 2, 3, 4} and got[1] == got[4] is not None and got[2] is None
+
+
+def test_first_row_of_equal_order_is_defined(spark):
+    data = [("k", 1, "b"), ("k", 1, "a"), ("k", 2, "0")]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "key string, at int, v string").repartition(3)
+        assert rows(changes.dedupe_first(df, ["key"], F.col("at"))) == [("k", 1, "a")]
+
+
+def test_country_of_equal_times_is_that_of_the_smallest_event(spark):
+    from earshot.plans import daily
+
+    data = [(i, "u", 1, dt.datetime(2024, 1, 1), 1000, c) for i, c in ((2, "AT"), (1, "ZA"), (3, "BE"))]
+    plays = spark.createDataFrame(
+        data, "event_id int, user_id string, track_id int, timestamp timestamp, ms_played long, country string"
+    ).withColumns(
+        {
+            "date": F.to_date("timestamp"),
+            "skipped": F.lit(False),
+            "completion_ratio": F.lit(1.0),
+            "time_of_day": F.lit("morning"),
+        }
+    )
+    assert daily.user_daily_stats_ext(plays).first()["country"] == "ZA"

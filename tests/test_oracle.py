@@ -7,10 +7,11 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from earshot.registry import oracle, spark_queries
 from tools.compare import TABLES, normalised
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = spark_queries.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -46,7 +46,7 @@ def test_zero_padded_folders(spark, canonical, tmp_path):
 def test_upsert_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     first = [("a", D(2024, 1, 1), 1, "old", "old"), ("a", D(2024, 1, 2), 1, "old", "old"), ("b", D(2024, 1, 2), 5, "old", "old")]
-    writers.write_partitioned(daily_rows(spark, first), path, ["date"])
+    writers.upsert_partitions(path, daily_rows(spark, first), ["user_id", "date"])
     untouched = os.listdir(f"{path}/date=2024-01-01")
     updates = daily_rows(spark, [("a", D(2024, 1, 2), 9, "new", "new"), ("c", D(2024, 1, 3), 7, "new", "new")])
     writers.upsert_partitions(path, updates, ["user_id", "date"])
@@ -63,19 +63,21 @@ def test_upsert_partitions(spark, tmp_path):
 def test_upsert_table_switches_versions(spark, tmp_path):
     base = str(tmp_path / "users")
     start = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    writers.publish(start, base, "users_now")
+    with pytest.raises(FileNotFoundError):
+        writers.current_version(spark, base)
+    writers.upsert_table(spark, base, start, ["k"], view="users_now")
     before = spark.table("users_now")
-    writers.upsert_table(
-        spark, "users_now", base, spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), ["k"]
-    )
+    changed = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    writers.upsert_table(spark, base, changed, ["k"], view="users_now")
     assert rows(spark.table("users_now")) == [(1, "a"), (2, "c"), (3, "d")]
     assert rows(before) == [(1, "a"), (2, "b")]
+    # Another session finds the current version without the view.
+    assert rows(writers.current_version(spark.newSession(), base)) == [(1, "a"), (2, "c"), (3, "d")]
 
 
 def test_append_new_twice(spark, tmp_path):
     path = str(tmp_path / "staged")
     batch = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "event_id int, v string")
-    batch.limit(0).write.parquet(path)
     writers.append_new(path, batch, ["event_id"])
     writers.append_new(path, batch, ["event_id"])
     assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "b")]
@@ -89,6 +91,9 @@ def test_staging_to_final(spark, tmp_path):
         writers.load_staged(staging, final, "2024-01-01")
     assert rows(spark.read.parquet(final), "user_id", "process_date") == [("a", D(2024, 1, 1))]
     assert rows(spark.read.parquet(staging), "user_id") == [("b",)]
+    for _ in range(2):
+        writers.load_staged(staging, final, "2024-01-02")
+    assert rows(spark.read.parquet(final), "user_id") == [("a",), ("b",)]
     left = changes.clear_staged(data, F.lit("2024-01-01").cast("date"))
     assert rows(left, "user_id") == [("b",)]
 

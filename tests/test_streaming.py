@@ -27,6 +27,7 @@ LINES = [
     {"event_id": "e1", "event_type": "error", "user_id": "u9", "timestamp": "2024-01-01T10:00:04", "error_type": "api_error", "platform": "ios"},
     {"event_id": "x1", "event_type": "dance", "user_id": "u1", "timestamp": "2024-01-01T10:00:05"},
     play(3, when="not a time"),
+    {**play(9), "event_id": None},
 ]
 TEXT = [json.dumps(line) for line in LINES] + ["{broken"]
 
@@ -56,18 +57,28 @@ def test_projections_and_defaults(events):
 
 def test_quarantine(events):
     reasons = sorted(r.reason for r in decode.quarantine(events).collect())
-    assert reasons == ["undecodable", "unknown event type", "unreadable timestamp"]
+    assert reasons == ["missing id", "undecodable", "unknown event type", "unreadable timestamp"]
     counts = dict(rows(decode.route_counts(events)))
-    assert counts == {"song_plays": 2, "auth_events": 1, "search_events": 1, "playlist_events": 1, "system_errors": 1, "quarantine": 3}
+    assert counts == {"song_plays": 2, "auth_events": 1, "search_events": 1, "playlist_events": 1, "system_errors": 1, "quarantine": 4}
 
 
 def test_metrics(events):
-    assert dict(rows(metrics.running_totals(events))) == {"song_plays_count": 3, "unique_users": 3, "unique_songs": 2}
-    assert dict(rows(metrics.events_by_platform(events))) == {"web": 1, "ios": 3, "unknown": 3}
+    assert dict(rows(metrics.running_totals(events))) == {"song_plays_count": 4, "unique_users": 3, "unique_songs": 2}
+    assert dict(rows(metrics.events_by_platform(events))) == {"web": 1, "ios": 3, "unknown": 4}
     assert rows(metrics.search_counts(events)) == [("jazz", 1)]
     assert rows(metrics.errors_by_type(events)) == [("api_error", 1)]
     top = metrics.top_of(metrics.events_by_platform(events), "platform", 1)
-    assert rows(top) == [("ios", 3)]
+    assert rows(top) == [("unknown", 4)]
+    report = rows(metrics.report(metrics.report_members(events), 2))
+    assert report == [
+        ("errors", "api_error", 1),
+        ("platforms", "ios", 3),
+        ("platforms", "unknown", 4),
+        ("searches", "jazz", 1),
+        ("totals", "song_plays_count", 4),
+        ("totals", "unique_songs", 2),
+        ("totals", "unique_users", 3),
+    ]
     assert dict(rows(metrics.approximate_totals(events))) == {"unique_users": 3, "unique_songs": 2}
 
 
@@ -85,13 +96,39 @@ def test_ingest_is_once_per_event_across_restarts(spark, tmp_path):
 
     write_lines(source, "1.json", TEXT + TEXT)
     run()
-    # The same events again, one new play, and one that is late by months.
-    write_lines(source, "2.json", [*TEXT, json.dumps(play(4)), json.dumps(play(5, when="2023-06-01T00:00:00"))])
+    # The same events again, one of them with another date, one new play, one late by months.
+    moved = json.dumps(play(1, when="2024-01-09T10:00:00"))
+    write_lines(source, "2.json", [*TEXT, moved, json.dumps(play(4)), json.dumps(play(5, when="2023-06-01T00:00:00"))])
     run()
-    plays = spark.read.parquet(f"{tables}/song_plays")
+    plays = ingest.read_ingested(spark, tables, "song_plays")
     assert rows(plays, "event_id") == [("p1",), ("p2",), ("p4",), ("p5",)]
-    assert spark.read.parquet(f"{tables}/auth_events").count() == 1
-    assert spark.read.parquet(f"{tables}/quarantine").count() == 9
+    assert ingest.read_ingested(spark, tables, "auth_events").count() == 1
+    assert ingest.read_ingested(spark, tables, "quarantine").count() == 12
+
+
+def test_ingest_goes_on_after_a_batch_without_a_type(spark, tmp_path):
+    source, tables, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
+
+    def run():
+        query = ingest.start_ingest(read_event_files(spark, str(source)), tables, progress, NOW)
+        query.awaitTermination()
+
+    write_lines(source, "1.json", [json.dumps(play(1))])
+    run()
+    assert ingest.read_ingested(spark, tables, "search_events").count() == 0
+    write_lines(source, "2.json", TEXT)
+    run()
+    write_lines(source, "3.json", ["{broken"])
+    run()
+    counts = {t: ingest.read_ingested(spark, tables, t).count() for t in [*decode.TABLES.values(), "quarantine"]}
+    assert counts == {
+        "song_plays": 2,
+        "auth_events": 1,
+        "search_events": 1,
+        "playlist_events": 1,
+        "system_errors": 1,
+        "quarantine": 5,
+    }
 
 
 def test_repeated_batch_replaces_itself(spark, tmp_path):
@@ -99,14 +136,19 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     write = ingest.write_event_batch(str(tmp_path / "t"))
     write(batch, 0)
     write(batch, 0)
-    write(batch, 1)
     assert rows(spark.read.parquet(str(tmp_path / "t/song_plays")), "event_id") == [("p1",), ("p2",)]
     counters = ingest.write_counter_batch(str(tmp_path / "c"))
     counters(batch, 0)
     counters(batch, 0)
     counters(batch, 1)
     got = rows(ingest.read_counters(spark, str(tmp_path / "c")))
-    assert ("song_play", "s1", 4) in got and ("search", "jazz", 2) in got and len(got) == 4
+    assert ("song_play", "s1", 6) in got and ("search", "jazz", 2) in got and len(got) == 4
+    ingest.compact_counters(spark, str(tmp_path / "c"), 1)
+    assert rows(ingest.read_counters(spark, str(tmp_path / "c"))) == got
+    counters(batch, 2)
+    ingest.compact_counters(spark, str(tmp_path / "c"), 3)
+    more = rows(ingest.read_counters(spark, str(tmp_path / "c")))
+    assert more == [(a, b, n * 3 // 2) for a, b, n in got]
 
 
 def test_report_of_a_running_metric(spark, tmp_path):
@@ -121,7 +163,7 @@ def test_report_of_a_running_metric(spark, tmp_path):
         NOW,
     )
     query.awaitTermination()
-    assert seen[-1] == [("ios", 3), ("unknown", 3)]
+    assert seen[-1] == [("ios", 3), ("unknown", 4)]
 
 
 def test_stream_dedupe_within_watermark(spark, tmp_path):
