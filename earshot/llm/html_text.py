@@ -228,13 +228,13 @@ def host_of(url: Column) -> Column:
 
 
 def keyed_pages(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
-    """(page_id, url, host, page_key, html); copies of a page have one key."""
+    """(page_id, url, host, page_key, html); copies of a page have one key, a 64-bit hash."""
     source = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit(""))
     return pages.select(
         F.col(f"`{page_id}`").alias("page_id"),
         F.col(f"`{url}`").cast("string").alias("url"),
         host_of(F.col(f"`{url}`")).alias("host"),
-        F.md5(source.cast("binary")).alias("page_key"),
+        F.xxhash64(source).alias("page_key"),
         source.alias("html"),
     )
 
@@ -267,7 +267,7 @@ def parse_pages(
 
     return keyed_pages(pages, page_id, url, html).mapInArrow(
         parse,
-        f"page_id {id_type}, url string, host string, page_key string, texts array<string>, "
+        f"page_id {id_type}, url string, host string, page_key long, texts array<string>, "
         "around array<array<bigint>>, subtrees array<bigint>",
     )
 
@@ -282,7 +282,12 @@ def extract_text(
 ) -> DataFrame:
     """(page_id, url, text, n_chars, n_template_subtrees): one row for each page."""
     parsed = parse_pages(pages, page_id, url, html)
-    seen = parsed.select("host", "page_key", F.explode("subtrees").alias("subtree")).distinct()
+    # Free of nulls from the start, so that both uses have the same plan and share its exchange.
+    seen = (
+        parsed.select("host", "page_key", F.explode("subtrees").alias("subtree"))
+        .where("host IS NOT NULL AND page_key IS NOT NULL AND subtree IS NOT NULL")
+        .distinct()
+    )
     different = keyed_pages(pages, page_id, url, html).select("host", "page_key").distinct()
     sizes = different.groupBy("host").agg(F.count("*").alias("host_pages"))
     counted = (
