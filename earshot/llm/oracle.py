@@ -41,7 +41,7 @@ def op1() -> str:
                       THEN 'word_length' END,
                  CASE WHEN n_words > 0 AND n_symbols / n_words > 0.1 THEN 'symbols' END,
                  CASE WHEN n_words = 0 OR n_stop_words / n_words < 0.05 THEN 'stop_words' END,
-                 CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.3 THEN 'repeated_lines' END
+                 CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.5 THEN 'repeated_lines' END
                ) AS failed_rules
         FROM counted)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

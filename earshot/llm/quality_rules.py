@@ -50,7 +50,7 @@ RULES = (
     Rule("word_length", "mean_word_chars", least=2, most=15),
     Rule("symbols", "symbols_per_word", most=0.1),
     Rule("stop_words", "stop_word_ratio", least=0.05),
-    Rule("repeated_lines", "dup_line_ratio", most=0.3),
+    Rule("repeated_lines", "dup_line_ratio", most=0.5),
 )
 
 
