@@ -39,8 +39,9 @@ CONFIDENT = 0.97
 ROUND_SHARE = 0.1
 #: Hash buckets of the languages and sources.
 BUCKETS = 32
-#: A document is good from this score on.
-GOOD = 0.5
+#: A document is rejected below this score, i.e. if it is far more likely bad than good: a clean
+#: document lost costs more than a bad one kept.
+GOOD = 0.3
 
 # Character classes: other, small letter, capital, digit, blank, newline, sentence mark, symbol,
 # byte of a letter beyond ASCII.
@@ -345,8 +346,8 @@ def score_documents(docs: DataFrame, model: CoTrained) -> DataFrame:
 
     added = ("text_score", "meta_score", "score")
     names = [c for c in docs.columns if c not in added]
-    with_scores = docs.select(
-        *[F.col(f"`{c}`") for c in names],
-        scored(F.col("text"), *_meta_columns()).alias("scores"),
+    both = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("d"),
+        scored(F.col("text"), *_meta_columns()).alias("s"),
     )
-    return with_scores.select(*[F.col(f"`{c}`") for c in names if c != "scores"], "scores.*")
+    return both.select(*[F.col(f"d.`{c}`").alias(c) for c in names], "s.*")
