@@ -1,7 +1,7 @@
 """Connected components of a link table, by alternating large and small stars.
 
 Each round replaces links by links to the smallest neighbour, first those of the larger
-neighbours, then those of the smaller ones, until nothing changes.  All work is grouping and joins
+neighbours, then those of the smaller ones, until each component is a star.  All work is grouping and joins
 on the table; rounds grow with the logarithm of the size.  A vertex with very many links is a
 skewed key of a join whose other side has one row for it, which the optimiser may split.
 Each round is cut off by a reliable checkpoint.
@@ -30,12 +30,16 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     return moved.union(smallest.select("high", F.col("least").alias("low"))).distinct()
 
 
-def _fingerprint(pairs: DataFrame) -> tuple:
-    row = pairs.agg(
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64("high", "low").cast("decimal(38,0)")).alias("sum"),
-    ).first()
-    return row["n"], row["sum"]
+def _is_forest_of_stars(pairs: DataFrame) -> bool:
+    """Whether each vertex is either the low end of its links or the high end of one link.
+
+    As low ends are smaller, each star's middle is then the smallest vertex of its component.
+    """
+    high = F.col("high").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")
+    low = F.col("low").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")
+    ends = pairs.select(*high).union(pairs.select(*low)).groupBy("id")
+    counts = ends.agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counts.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -48,12 +52,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low"))
         .distinct()
     )
-    before = _fingerprint(pairs)
-    while before[0]:
+    while not _is_forest_of_stars(pairs):
         pairs = checkpoint(_small_star(_large_star(pairs)))
-        now = _fingerprint(pairs)
-        if now == before:
-            break
-        before = now
     roots = pairs.select(F.col("low").alias("id"), F.col("low").alias("component_id")).distinct()
     return roots.union(pairs.select(F.col("high").alias("id"), F.col("low").alias("component_id")))

@@ -7,12 +7,12 @@ linked if the intersection has at least 80 % of the union.
    documents come last in the order of shingles, so that shared passages do not select.
 2. A document's prefix is what it must share one shingle of with any partner.  Documents of
    equal prefix and size form a group; a group is listed once under each shingle of its prefix.
-3. Shingles with more than one group are kept.  Each list first pairs a leader with the
-   others of about its size; pairs that share enough shingles are expanded to members and
-   verified, and the verified ones joined to components.  Then all pairs of a list that are
-   still in different components are filtered by size, by position and by the number of
-   shingles their prefixes share, and verified as well.  Pairs within a component need no test,
-   so a large group of near copies costs its size and not its square.
+3. Shingles with more than one group are kept.  Each list first pairs a leader (a long list:
+   some) with the others of about its size; pairs that share enough shingles are expanded to
+   members and verified, and the verified ones joined to components.  Then all pairs of a list
+   that are still in different components are filtered by size, by position and by the number
+   of shingles their prefixes share, and verified as well.  Pairs within a component need no
+   test, so a large group of near copies costs about its size and not its square.
 4. The components of all verified links are the result.  Exact copies (equal sets) are one
    member.
 
@@ -48,6 +48,9 @@ MOST_COMMON = 1 << 20
 LEAST_COMMON = 64
 #: Bytes of text whose shingles meet in one bucket.
 BUCKET_BYTES = 64 << 20
+#: Groups of a list that make it a long one, and leaders that long lists have.
+LONG_LIST = 64
+LEADERS = 32
 #: Bits of a shingle within its bucket that are counted.
 CODE_BITS = 24
 
@@ -382,16 +385,26 @@ def _from_bytes(raw: bytes) -> pa.Table:
 def _leader_pairs(found: np.ndarray, group: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
     """In each list and band of sizes, the smallest group paired with each other one.
 
-    Gives leader, member, their sizes and the number of lists with the pair.
+    A list of more than ``LONG_LIST`` groups has ``LEADERS`` leaders, since in a large group of near
+    copies not all are similar to the same one.  Gives leader, member, their sizes and the
+    number of lists with the pair.
     """
     band = np.floor(np.log(np.maximum(size, 1)) / np.log(1.2)).astype(np.int64)
     order = np.lexsort((group, band, found))
     f, b, g, z = found[order], band[order], group[order], size[order]
     first = np.ones(len(f), bool)
     first[1:] = (f[1:] != f[:-1]) | (b[1:] != b[:-1])
-    head = np.maximum.accumulate(np.where(first, np.arange(len(f)), 0))
-    other = g[head] != g
-    leader, member, leader_size, member_size = g[head][other], g[other], z[head][other], z[other]
+    begin = np.flatnonzero(first)
+    length = np.diff(np.append(begin, len(f)))
+    head, long = np.repeat(begin, length), np.repeat(length > LONG_LIST, length)
+    rank = np.arange(len(f)) - head
+    heads, members = [], []
+    for k in range(LEADERS):
+        paired = np.flatnonzero((rank > k) & (long if k else True))
+        heads.append(head[paired] + k)
+        members.append(paired)
+    at, paired = np.concatenate(heads), np.concatenate(members)
+    leader, member, leader_size, member_size = g[at], g[paired], z[at], z[paired]
     order = np.lexsort((member, leader))
     leader, member = leader[order], member[order]
     new = np.ones(len(leader), bool)
