@@ -13,7 +13,7 @@ numbers.  So hot sources, copies and long texts need no care.
 
 Null text counts as empty, null language or source as a value of its own, null lengths as
 zero.  Labels that are null or not 0 or 1 are not used; of several labels of one id the
-smallest counts.  Without labels of both classes each document gets the share of good ones among
+smallest counts, and of rows that share an id one is learnt from.  Without labels of both classes each document gets the share of good ones among
 the labels there are (1 if there are none).  Repeated rows get equal scores.  Further columns are
 carried along; the added columns are ``text_score``, ``meta_score`` and ``score``.
 """
@@ -295,6 +295,7 @@ def fit(
         .where("known IS NULL")
         .select("doc_id")
         .distinct()
+        .orderBy(order, "doc_id")
         .limit(most_pool)
         .select("doc_id", F.lit(None).cast("int").alias("quality"))
     )
