@@ -24,10 +24,10 @@ def _graded(df: DataFrame) -> DataFrame:
     return df.withColumn("status", status).select(*RESULT)
 
 
-def check_rows(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """Count the rows violating each named condition, all conditions in one pass."""
-    names = list(checks)
-    counted = df.agg(*[F.count_if(checks[n]).alias(f"v{i}") for i, n in enumerate(names)])
+def check_counts(df: DataFrame, violations: dict[str, Column]) -> DataFrame:
+    """One row for each named aggregate that counts violations, all in one pass."""
+    names = list(violations)
+    counted = df.agg(*[violations[n].cast("long").alias(f"v{i}") for i, n in enumerate(names)])
     pairs = F.array(
         *[
             F.struct(F.lit(n).alias("check_name"), F.col(f"v{i}").alias("violations"))
@@ -37,6 +37,31 @@ def check_rows(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return _graded(counted.select(F.inline(pairs)))
 
 
+def check_rows(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """Count the rows violating each named condition, all conditions in one pass."""
+    return check_counts(df, {name: F.count_if(bad) for name, bad in checks.items()})
+
+
+def check_table(
+    df: DataFrame,
+    table: str,
+    *not_null: str,
+    dates: tuple[str, ...] = (),
+    minimum: int | None = None,
+    rows_name: str | None = None,
+    ts: str = "played_at",
+) -> DataFrame:
+    """Missing values, days without rows and missing rows of a table, in one pass."""
+    found = {f"not_null:{table}.{c}": F.count_if(is_missing(c)) for c in not_null}
+    for d in dates:
+        found[f"rows_for_date:{d}"] = F.count_if(on_date(F.col(ts), d)) == 0
+    if minimum is not None:
+        found[f"min_rows:{rows_name or table}"] = F.greatest(
+            F.lit(minimum) - F.count(F.lit(1)), F.lit(0)
+        )
+    return check_counts(df, found)
+
+
 def is_missing(column: str) -> Column:
     return F.col(column).isNull()
 

@@ -168,13 +168,17 @@ def _dq_unique(c: Canonical) -> DataFrame:
     )
 
 
+NOT_NULL = {
+    "users": ("user_id", "username", "country"),
+    "tracks": ("track_id", "name", "album_id", "artist_id"),
+    "streaming_history": ("event_id", "user_id", "track_id", "played_at", "country"),
+}
+
+
 def _dq_not_null(c: Canonical) -> DataFrame:
+    tables = {"users": c.users, "tracks": c.tracks, "streaming_history": c.plays}
     return quality.union(
-        quality.check_not_null(c.users, "users", "user_id", "username", "country"),
-        quality.check_not_null(c.tracks, "tracks", "track_id", "name", "album_id", "artist_id"),
-        quality.check_not_null(
-            c.plays, "streaming_history", "event_id", "user_id", "track_id", "played_at", "country"
-        ),
+        *[quality.check_not_null(df, name, *NOT_NULL[name]) for name, df in tables.items()]
     )
 
 
@@ -223,11 +227,19 @@ def _dq_invariants(c: Canonical) -> DataFrame:
 def _dq_checks(c: Canonical) -> DataFrame:
     return quality.union(
         _dq_unique(c),
-        _dq_not_null(c),
         _dq_fk(c),
-        quality.check_rows_for_date(c.plays, AS_OF),
-        quality.check_rows_for_date(c.plays, "2024-03-01"),
-        quality.check_min_rows({"plays": c.plays, "tracks": c.tracks}, 20),
+        quality.check_table(c.users, "users", *NOT_NULL["users"]),
+        quality.check_table(
+            c.tracks, "tracks", *NOT_NULL["tracks"], minimum=20, rows_name="tracks"
+        ),
+        quality.check_table(
+            c.plays,
+            "streaming_history",
+            *NOT_NULL["streaming_history"],
+            dates=(AS_OF, "2024-03-01"),
+            minimum=20,
+            rows_name="plays",
+        ),
     )
 
 
