@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from earshot.llm import classifier, mixing, ngram_join, packing, secrets
 from earshot.llm.common import table
-from earshot.llm.queries import MIX_SEED, MIX_WEIGHTS, automata, vocabulary_path
+from earshot.llm.queries import MIX_OTHER, MIX_SEED, MIX_WEIGHTS, automata, vocabulary_path
 from earshot.session import scratch_path
 
 #: The columns that stages hand on.
@@ -47,7 +47,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by a Poisson count, so that sources get their target weights."""
-    mixed = mixing.mix_sources(docs.select(*COLUMNS), MIX_WEIGHTS, seed=MIX_SEED)
+    mixed = mixing.mix_sources(
+        docs.select(*COLUMNS), MIX_WEIGHTS, other_weight=MIX_OTHER, seed=MIX_SEED
+    )
     return mixed.select(*COLUMNS)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from earshot.llm import chat_format, licenses, mixing, quality_rules
 from earshot.llm.common import sql_list
-from earshot.llm.queries import MIX_SEED, MIX_WEIGHTS
+from earshot.llm.queries import MIX_OTHER, MIX_SEED, MIX_WEIGHTS
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -125,28 +125,32 @@ def op4() -> str:
 def op5() -> str:
     weights = ", ".join(f"('{k}', {float(w)})" for k, w in MIX_WEIGHTS.items())
     return rf"""
-    WITH RECURSIVE weights AS (SELECT * FROM (VALUES {weights}) AS v(source, w)),
+    WITH RECURSIVE weights AS (
+        SELECT * FROM (VALUES {weights}, ('other', {float(MIX_OTHER)})) AS v(key, w)),
+    keyed AS (
+        SELECT *, CASE WHEN source IN ({sql_list(MIX_WEIGHTS)}) THEN source ELSE 'other' END AS key
+        FROM documents),
     sized AS (
-        SELECT source, w, count(*) AS n FROM documents JOIN weights USING (source) GROUP BY ALL),
+        SELECT key, w, count(*) AS n FROM keyed JOIN weights USING (key) GROUP BY ALL),
     rates AS (
-        SELECT source, w / (SELECT sum(w) FROM sized) * (SELECT count(*) FROM documents) / n
+        SELECT key, w / (SELECT sum(w) FROM sized) * (SELECT count(*) FROM documents) / n
                  AS mean_copies FROM sized),
     parts AS (
-        SELECT source, mean_copies, greatest(ceil(mean_copies / {mixing.LARGEST_MEAN}), 1) AS parts
+        SELECT key, mean_copies, greatest(ceil(mean_copies / {mixing.LARGEST_MEAN}), 1) AS parts
         FROM rates),
     cdf AS (
-        SELECT source, 0 AS k, mean_copies / parts AS mean, exp(-mean_copies / parts) AS p,
+        SELECT key, 0 AS k, mean_copies / parts AS mean, exp(-mean_copies / parts) AS p,
                exp(-mean_copies / parts) AS total FROM parts
         UNION ALL
-        SELECT source, k + 1, mean, p * mean / (k + 1), total + p * mean / (k + 1)
+        SELECT key, k + 1, mean, p * mean / (k + 1), total + p * mean / (k + 1)
         FROM cdf WHERE k < {mixing.LAST_COUNT}),
-    steps AS (SELECT source, list(total ORDER BY k) AS cdf FROM cdf GROUP BY source),
+    steps AS (SELECT key, list(total ORDER BY k) AS cdf FROM cdf GROUP BY key),
     drawn AS (
         SELECT d.*, mean_copies,
                list_sum(list_transform(range(0, parts::BIGINT), lambda j: len(list_filter(cdf, lambda c: c <=
                  ('0x' || substr(md5('{MIX_SEED}:' || doc_id || ':' || j), 1, 13))::BIGINT
                  / pow(2.0, 52)))))::BIGINT AS copies
-        FROM documents d JOIN parts USING (source) JOIN steps USING (source)),
+        FROM keyed d JOIN parts USING (key) JOIN steps USING (key)),
     copied AS (SELECT *, unnest(range(0, copies)) AS copy_no FROM drawn WHERE copies > 0)
     SELECT doc_id, text, lang, source, n_chars, copy_no, mean_copies,
            md5('order{MIX_SEED}:' || doc_id || ':' || copy_no) AS shuffle_key

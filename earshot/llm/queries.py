@@ -23,8 +23,10 @@ from earshot.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Target weights of the mixture: all twenty sources alike, whatever their sizes.
+#: Target weights of the mixture: all twenty sources alike, whatever their sizes, and all
+#: documents of other or no source together like one more.
 MIX_WEIGHTS = {f"src{i}": 1.0 for i in range(20)}
+MIX_OTHER = 1.0
 MIX_SEED = 42
 #: The public vocabulary that packing counts in.
 VOCABULARY = "byte_bpe_50k.json"
@@ -82,7 +84,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(
-        table(spark, sf_dir, "documents"), MIX_WEIGHTS, other_weight=0.0, seed=MIX_SEED
+        table(spark, sf_dir, "documents"), MIX_WEIGHTS, other_weight=MIX_OTHER, seed=MIX_SEED
     )
 
 
