@@ -169,6 +169,8 @@ _TABLES: dict[str, str] = {
                CAST(floor(value * 3000) AS BIGINT) AS ms_played,
                'best songs ' || (CAST(json_extract(props, '$.k') AS BIGINT) % 20) AS search_query
         FROM events""",
+    "dated": """
+        SELECT event_id, user_id, ms_played, played_at, played_at::DATE AS date FROM plays""",
     "counter_events": """
         SELECT event_type AS metric_type, ts,
                CASE event_type WHEN 'song_play' THEN k WHEN 'search' THEN search_query
@@ -948,6 +950,24 @@ _SQL: dict[str, str] = {
                                  GROUP BY search_query ORDER BY 3 DESC, 2 LIMIT 5)
         UNION ALL SELECT 'errors', error_type, count(*) FROM feed
         WHERE event_type = 'error' GROUP BY error_type""",
+    "play_locations": """
+        SELECT event_id, country, 'unknown' AS city FROM feed WHERE event_type = 'song_play'""",
+    "sink_partitioned": "SELECT event_id, user_id, ms_played, played_at, date FROM dated",
+    "sink_upsert_partitions": """
+        SELECT event_id, user_id, played_at, date, ms_played
+               + CASE WHEN date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' THEN 1 ELSE 0 END
+                 AS ms_played
+        FROM dated""",
+    "sink_append_new": "SELECT event_id, user_id, ms_played, played_at, date FROM dated",
+    "sink_staging": """
+        SELECT event_id, user_id, ms_played, played_at, date, date AS process_date FROM dated
+        WHERE date IN (DATE '2024-01-10', DATE '2024-01-11')""",
+    "sink_versions": """
+        SELECT user_id, username, country || CASE WHEN user_id % 3 = 0 THEN '!' ELSE '' END
+                 AS country
+        FROM users WHERE user_id % 2 = 0 OR user_id % 3 = 0""",
+    "files_json": """
+        SELECT user_id, username, country, NULL::VARCHAR AS _corrupt_record FROM users""",
     "table_counts": _counts(
         {
             "raw.users": "users",

@@ -13,6 +13,8 @@ from earshot.operators.grouping import union_counts
 from earshot.operators.joins import lookup_with_default
 from earshot.plans import activity, daily, extracts, features, marts
 from earshot.session import scratch_path
+from earshot.sinks import writers
+from earshot.sources import readers
 from earshot.sources.canonical import Canonical, event_values
 from earshot.streaming import decode, ingest, metrics
 
@@ -362,6 +364,66 @@ def _stream_report(c: Canonical) -> DataFrame:
     return metrics.report(_run(c, "report", metrics.report_members(events), "complete"))
 
 
+def _dated(c: Canonical) -> DataFrame:
+    plays = c.plays.select("event_id", "user_id", "ms_played", "played_at")
+    return plays.withColumn("date", F.to_date("played_at"))
+
+
+def _sink_partitioned(c: Canonical) -> DataFrame:
+    """Written by day twice; the second write replaces its own days only."""
+    path = scratch_path(c.spark, "partitioned")
+    writers.write_partitioned(_dated(c), path, ["date"])
+    later = _dated(c).where(F.col("date") >= F.lit("2024-01-15").cast("date"))
+    writers.write_partitioned(later, path, ["date"])
+    return c.spark.read.parquet(path)
+
+
+def _sink_upsert(c: Canonical) -> DataFrame:
+    """An absent target filled, then a week's rows changed in place."""
+    path = scratch_path(c.spark, "upserted")
+    keys = ["event_id", "date"]
+    writers.upsert_partitions(path, _dated(c), keys)
+    week = F.col("date").between("2024-01-08", "2024-01-14")
+    changed = _dated(c).where(week).withColumn("ms_played", F.col("ms_played") + 1)
+    writers.upsert_partitions(path, changed, keys)
+    return c.spark.read.parquet(path)
+
+
+def _sink_append_new(c: Canonical) -> DataFrame:
+    """The same rows appended twice are stored once."""
+    path = scratch_path(c.spark, "appended")
+    for _ in range(2):
+        writers.append_new(path, _dated(c), ["event_id"], F.col("played_at"))
+    return c.spark.read.parquet(path)
+
+
+def _sink_staging(c: Canonical) -> DataFrame:
+    """Days staged one by one and each loaded twice."""
+    base = scratch_path(c.spark, "staging")
+    for d in ("2024-01-10", "2024-01-11"):
+        one = _dated(c).where(F.col("date") == F.lit(d).cast("date"))
+        writers.write_partitioned(one, f"{base}/staged", ["date"])
+        for _ in range(2):
+            writers.load_staged(f"{base}/staged", f"{base}/final", d)
+    return c.spark.read.parquet(f"{base}/final")
+
+
+def _sink_versions(c: Canonical) -> DataFrame:
+    """A table without a first version, upserted twice and read in another session."""
+    base = scratch_path(c.spark, "versions")
+    users = c.users.select("user_id", "username", "country")
+    writers.upsert_table(c.spark, base, users.where(F.col("user_id") % 2 == 0), ["user_id"])
+    moved = users.withColumn("country", F.concat("country", F.lit("!")))
+    writers.upsert_table(c.spark, base, moved.where(F.col("user_id") % 3 == 0), ["user_id"])
+    return writers.current_version(c.spark, base)
+
+
+def _files_json(c: Canonical) -> DataFrame:
+    path = scratch_path(c.spark, "json")
+    writers.write_json(c.users.select("user_id", "username", "country"), path)
+    return readers.read_files(c.spark, path, "json", "user_id long, username string, country string")
+
+
 def _projected(kind: str) -> Callable[[Canonical], DataFrame]:
     def rows(c: Canonical) -> DataFrame:
         projected = decode.PROJECTIONS[kind](_decoded(c)).drop("raw_data")
@@ -486,6 +548,16 @@ _QUERIES: dict[str, Callable[[Canonical], DataFrame]] = {
     "stream_dedupe": _stream_dedupe,
     "stream_ingest_accounting": _stream_ingest_accounting,
     "stream_report": _stream_report,
+    "play_locations": lambda c: decode.located_plays(_decoded(c)).select(
+        "event_id", "country", "city"
+    ),
+    # sinks, read back
+    "sink_partitioned": _sink_partitioned,
+    "sink_upsert_partitions": _sink_upsert,
+    "sink_append_new": _sink_append_new,
+    "sink_staging": _sink_staging,
+    "sink_versions": _sink_versions,
+    "files_json": _files_json,
     # quality
     "table_counts": _table_counts,
     "dq_unique": _dq_unique,

@@ -100,14 +100,23 @@ class Canonical:
 
     @cached_property
     def artists(self) -> DataFrame:
-        words = F.flatten(F.collect_set(F.split("p_name", " ")))
+        """Words are made distinct per artist before they are collected; the first word of a
+        part carries its count and size."""
+        words = self.read("part").select(
+            F.col("p_brand").alias("artist_id"),
+            "p_size",
+            F.posexplode(F.split("p_name", " ")).alias("at", "word"),
+        )
+        per_word = words.groupBy("artist_id", "word").agg(
+            F.count_if(F.col("at") == 0).alias("parts"),
+            F.sum(F.when(F.col("at") == 0, F.col("p_size"))).alias("size"),
+        )
         return (
-            self.read("part")
-            .groupBy(F.col("p_brand").alias("artist_id"))
+            per_word.groupBy("artist_id")
             .agg(
-                F.sort_array(F.array_distinct(words)).alias("genres"),
-                F.pmod(F.count(F.lit(1)), F.lit(101)).cast("int").alias("popularity"),
-                F.sum("p_size").alias("followers"),
+                F.sort_array(F.collect_list("word")).alias("genres"),
+                F.pmod(F.sum("parts"), F.lit(101)).cast("int").alias("popularity"),
+                F.sum("size").alias("followers"),
             )
             .select(
                 "artist_id", F.col("artist_id").alias("name"), "popularity", "genres", "followers"

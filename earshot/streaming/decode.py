@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions.measures import with_default
-from earshot.functions.text import as_json, normalize_query
+from earshot.functions.text import as_json, normalize_query, parse_location
 from earshot.functions.time import parse_iso
 from earshot.operators.filters import of_type
 from earshot.schemas import EVENT, struct_of
@@ -87,6 +87,12 @@ def project_song_play(events: DataFrame) -> DataFrame:
     )
 
 
+def located_plays(events: DataFrame) -> DataFrame:
+    """Decoded plays with the country and city of their location, ``unknown`` without one."""
+    plays = project_song_play(events)
+    return plays.withColumns(parse_location(F.col("location"))).drop("location")
+
+
 def project_auth(events: DataFrame) -> DataFrame:
     return accepted(events, "auth").select(
         "event_id",
