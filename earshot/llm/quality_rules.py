@@ -6,8 +6,8 @@ rules and gives the verdict.  No user function and no shuffle: rows are independ
 hot sources, copies and ties need no care, and a very long text costs as much as its words.
 
 Null or empty text has no words; all measures are zero and the base rule rejects it.
-Repeated rows give repeated results.  Only the two named columns are read, so further
-columns may have any name.
+Repeated rows give repeated results.  Further columns are carried along, whatever their names;
+those named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -31,6 +31,13 @@ STOP_WORDS = (
 ).split()
 
 
+#: Columns that are added; those of ``docs`` with these names are replaced.
+ADDED = (
+    "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_stop_words base_failed "
+    "failed_rules kept"
+).split()
+
+
 @dataclass(frozen=True)
 class Rule:
     """A text fails if ``measure`` is below ``least`` or above ``most``."""
@@ -71,7 +78,7 @@ def measure_text(docs: DataFrame, text: str = "text") -> DataFrame:
     Equal windows are recognised by their 64-bit hashes; the words they cover are the union of
     the windows, i.e. the sum of min(8, distance to the next one) over the sorted positions.
     """
-    keep = [c for c in docs.columns if not c.startswith("_q_")]
+    keep = [c for c in docs.columns if not c.startswith("_q_") and c not in ADDED]
     step = docs.select(
         *[F.col(f"`{c}`") for c in keep],
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_q_text"),
