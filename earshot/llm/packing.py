@@ -237,6 +237,11 @@ def pack_documents(
     )
 
 
+def write_buckets(packed: DataFrame, path: str) -> None:
+    """One folder for each length, so that a batch can be read from sequences of one length."""
+    packed.write.partitionBy("bucket").parquet(path)
+
+
 def digest(packed: DataFrame) -> DataFrame:
     """``packed`` with the checksum of the ids in place of the ids."""
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

@@ -57,6 +57,13 @@ def test_each_id_lies_in_exactly_one_piece(spark, encoder):
         assert {p["doc_tokens"] for p in pieces} == {len(ids) // 4}
 
 
+def test_buckets_hold_sequences_of_one_length(spark, tmp_path):
+    docs = documents(spark, ["a word or two " * k for k in (1, 7, 300, 2000)])
+    packing.write_buckets(packing.pack_documents(docs, vocabulary_path()), str(tmp_path / "b"))
+    whole = spark.read.parquet(str(tmp_path / "b"))
+    assert whole.where("length <> shiftleft(1, bucket)").count() == 0 and whole.count() > 10
+
+
 def test_digest_and_empty_table(spark):
     docs = documents(spark, ["some text"]).withColumn("length", F.lit("x"))
     packed = packing.pack_documents(docs, vocabulary_path())
