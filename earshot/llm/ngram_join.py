@@ -122,7 +122,7 @@ def common_shingles(docs: DataFrame, text: str, bits: int) -> np.ndarray:
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_arrays.parts(batches, 0):
             codes = [
                 shingle_sets(t)[1] >> np.uint64(64 - bits - CODE_BITS)
                 for t in text_arrays.chunks(batch.column(0))
@@ -237,7 +237,7 @@ def group_lists(docs: DataFrame, common: np.ndarray, bits: int, doc_id: str, tex
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = Order(shared.value, bits)
-        for batch in batches:
+        for batch in text_arrays.parts(batches, 1):
             parts = [prefixes(t, order) for t in text_arrays.chunks(batch.column(1))]
             if not parts:
                 continue
@@ -458,7 +458,7 @@ def verified(
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_arrays.parts(batches, 1):
             for texts in text_arrays.chunks(batch.column(1)):
                 n = len(texts.starts)
                 rows, found = shingle_sets(texts)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are turned into arrays at a time; a longer single text is taken whole.
 CHUNK_BYTES = 1 << 20
@@ -58,6 +59,21 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Texts]:
         row = end
 
 
+def parts(
+    batches: Iterable[pa.RecordBatch], column: int, limit: int = 8 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a column has at most ``limit`` bytes of text, or one row."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes.astype(np.int64))
+        row = 0
+        while row < batch.num_rows:
+            before = ends[row - 1] if row else 0
+            end = max(row + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(row, end - row)
+            row = end
+
+
 _power_table: dict[int, np.ndarray] = {}
 
 
