@@ -936,6 +936,9 @@ _SQL: dict[str, str] = {
                  ELSE 'system_errors' END AS table_name, count(*) AS record_count
         FROM feed GROUP BY 1
         UNION ALL SELECT 'quarantine', count(*) FROM feed""",
+    "stream_counters": """
+        SELECT metric_type, entity_id, count(*) AS count FROM counter_events
+        WHERE entity_id IS NOT NULL GROUP BY ALL""",
     "stream_report": """
         SELECT 'totals' AS section, 'song_plays_count' AS key, count(*) AS value
         FROM feed WHERE event_type = 'song_play'

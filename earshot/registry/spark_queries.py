@@ -357,6 +357,22 @@ def _stream_ingest_accounting(c: Canonical) -> DataFrame:
     return union_counts({t: ingest.read_ingested(c.spark, f"{base}/tables", t) for t in tables})
 
 
+def _stream_counters(c: Canonical) -> DataFrame:
+    """Counters of the feed, stored as deltas per batch and then compacted."""
+    base = scratch_path(c.spark, "counters")
+    fields = ("event_type", "song_id", "search_query", "error_type")
+    query = (
+        decode.decode_events(_feed(c), *fields)
+        .writeStream.foreachBatch(ingest.write_counter_batch(f"{base}/deltas"))
+        .option("checkpointLocation", f"{base}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    ingest.compact_counters(c.spark, f"{base}/deltas", 1)
+    return ingest.read_counters(c.spark, f"{base}/deltas")
+
+
 def _stream_report(c: Canonical) -> DataFrame:
     events = decode.decode_events(
         _feed(c), "event_type", "user_id", "song_id", "platform", "search_query", "error_type"
@@ -547,6 +563,7 @@ _QUERIES: dict[str, Callable[[Canonical], DataFrame]] = {
     "stream_sessions": _stream_sessions,
     "stream_dedupe": _stream_dedupe,
     "stream_ingest_accounting": _stream_ingest_accounting,
+    "stream_counters": _stream_counters,
     "stream_report": _stream_report,
     "play_locations": lambda c: decode.located_plays(_decoded(c)).select(
         "event_id", "country", "city"
