@@ -432,11 +432,11 @@ def reachable(shared: Column, size_a: Column, size_b: Column) -> Column:
 FILTER_BITS = 1 << 22
 
 
-def only_wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (id, text) whose id is wanted, and perhaps a few others.
+def flag_wanted(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with a column ``wanted``: true if ``id`` is among ``ids``, and perhaps for a few more.
 
-    The wanted ids are hashed into a filter of fixed size (65,536 rows at most, so it may be
-    broadcast); it saves the other texts from being shuffled.
+    The ids are hashed into a filter of fixed size (65,536 rows at most, so it may be broadcast);
+    it saves the other rows from being shuffled.  A null id is not wanted.
     """
     place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     word, bit = F.floor(place / 64), F.pmod(place, F.lit(64)).cast("int")
@@ -445,8 +445,10 @@ def only_wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits"))
     )
-    passing = docs.withColumns({"word": word, "bit": bit}).join(F.broadcast(marked), "word")
-    return passing.where(F.getbit("bits", F.col("bit")) == 1).select("id", "text")
+    placed = rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(marked), "word", "left")
+    hit = F.col("id").isNotNull() & F.col("bits").isNotNull()
+    hit = hit & (F.getbit("bits", F.col("bit")) == 1)
+    return placed.withColumn("wanted", F.coalesce(hit, F.lit(False))).drop("word", "bit", "bits")
 
 
 def verified(
@@ -491,7 +493,7 @@ def verified(
         F.col(f"`{text}`").cast("string").alias("text"),
     )
     path = scratch_path(spark, "shingle-sets")
-    only_wanted(texts, wanted).mapInArrow(
+    flag_wanted(texts, wanted).where("wanted").select("id", "text").mapInArrow(
         sets, "id long, mark long, shingles binary"
     ).dropDuplicates(["id", "mark"]).write.parquet(path)
     found = spark.read.parquet(path)
@@ -616,9 +618,33 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row for each component; rows without an id are all kept."""
-    found = near_duplicates(docs, doc_id, text)
-    others = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_other")).distinct()
-    named = docs.where(F.col(f"`{doc_id}`").isNotNull())
-    kept = named.join(others, named[doc_id].cast("long") == others["_other"], "left_anti")
-    return kept.dropDuplicates([doc_id]).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
+    """``docs`` with one row for each component; rows without an id are all kept.
+
+    Only rows that may have to go are shuffled: those of an id that is not its component's
+    smallest, or that occurs more than once.
+    """
+    found = near_duplicates(docs, doc_id, text).select(F.col("doc_id").alias("id"), "component_id")
+    path = scratch_path(docs.sparkSession, "suspects")
+    (
+        found.where("id IS NOT NULL")
+        .groupBy("id")
+        .agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+        .where("n > 1 OR component_id <> id")
+        .write.parquet(path)
+    )
+    suspects = docs.sparkSession.read.parquet(path)
+    others = suspects.where("component_id <> id").select("id")
+    names = docs.columns
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("d"),
+        F.col(f"`{doc_id}`").cast("long").alias("id"),
+    )
+    flagged = flag_wanted(rows, suspects.select("id"))
+    checked = (
+        flagged.where("wanted")
+        .select("d", "id")
+        .join(others, "id", "left_anti")
+        .dropDuplicates(["id"])
+    )
+    kept = flagged.where("NOT wanted").select("d").union(checked.select("d"))
+    return kept.select(*[F.col(f"d.`{c}`").alias(c) for c in names])
