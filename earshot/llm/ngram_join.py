@@ -9,7 +9,8 @@ linked if the intersection has at least 80 % of the union.
    equal prefix and size form a group; a group is listed once under each shingle of its prefix.
 3. Shingles with more than one group are kept.  Each list first pairs a leader (a long list:
    some) with the others of about its size; pairs that share enough shingles are expanded to
-   members and verified, and the verified ones joined to components.  Then all pairs of a list
+   members and verified, and the verified ones joined to components; those left alone try the
+   members nearest to them by a part of the shingles.  Then all pairs of a list
    that are still in different components are filtered by size, by position and by the number
    of shingles their prefixes share, and verified as well.  Pairs within a component need no
    test, so a large group of near copies costs about its size and not its square.
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.llm import text_arrays
@@ -503,6 +505,76 @@ def verified(
     return both.where(similar("left", "right")).select("a", "b")
 
 
+#: Members of each component look for their nearest ones by the shingles of one hash class of so
+#: many, and try so many of them, before all pairs left are looked at.
+NEAREST_PART = 8
+NEAREST = 8
+
+
+def _labelled(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The components of the links, and the members with that component as their label."""
+    stars = connected_components(links).where("id <> component_id")
+    path = scratch_path(members.sparkSession, "labelled-members")
+    (
+        members.join(stars.withColumnRenamed("component_id", "label"), "id", "left")
+        .select("group_id", "size", "id", "mark", F.coalesce("label", "id").alias("label"))
+        .write.parquet(path)
+    )
+    return stars, members.sparkSession.read.parquet(path)
+
+
+def _label_range(labelled: DataFrame) -> DataFrame:
+    """The smallest and the largest label of each group's members."""
+    return labelled.groupBy("group_id").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")
+    )
+
+
+def _open_lists(listed: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The lists, member by member, that have members of different labels."""
+    mixed = (
+        listed.join(_label_range(labelled), "group_id")
+        .groupBy("shingle")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        .where("low <> high")
+        .select("shingle")
+    )
+    return (
+        listed.join(mixed, "shingle", "left_semi")
+        .join(labelled.select("group_id", "id", "mark", "label"), "group_id")
+        .select("shingle", "size", "place", "id", "mark", "label")
+    )
+
+
+def _met(open_lists: DataFrame) -> DataFrame:
+    """Pairs (x, y) of different labels and fitting sizes, with the number of lists they share."""
+    x, y = open_lists.alias("x"), open_lists.alias("y")
+    need = F.ceil(PERCENT * (F.col("x.size") + F.col("y.size")) / (100 + PERCENT))
+    reach = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) + 1
+    return (
+        x.join(
+            y,
+            (F.col("x.shingle") == F.col("y.shingle"))
+            & (F.col("x.label") < F.col("y.label"))
+            & (100 * F.col("x.size") >= PERCENT * F.col("y.size"))
+            & (100 * F.col("y.size") >= PERCENT * F.col("x.size")),
+        )
+        .select(
+            F.struct("x.id", "x.mark", "x.size").alias("x"),
+            F.struct("y.id", "y.mark", "y.size").alias("y"),
+            (reach >= need).alias("first"),
+        )
+        .groupBy("x", "y")
+        .agg(F.count("*").alias("shared"), F.bool_or("first").alias("first"))
+    )
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select("x.id", "x.mark", F.col("y.id"), F.col("y.mark")).toDF(
+        "a", "a_mark", "b", "b_mark"
+    )
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
     spark = docs.sparkSession
@@ -544,52 +616,33 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     path = scratch_path(spark, "leader-pairs")
     inside.union(across).distinct().write.parquet(path)
     links = verified(docs, spark.read.parquet(path), doc_id, text)
-    stars = connected_components(links).where("id <> component_id")
-    path = scratch_path(spark, "labelled-members")
-    (
-        members.join(stars.withColumnRenamed("component_id", "label"), "id", "left")
-        .select("group_id", "size", "id", "mark", F.coalesce("label", "id").alias("label"))
-        .write.parquet(path)
+    stars, labelled = _labelled(members, links)
+    listed = stored.where(F.col("kind") == LISTED).select("shingle", "group_id", "size", "place")
+
+    # Members that no leader reached try those first that seem nearest by a part of the shingles.
+    part = _met(_open_lists(listed.where(F.pmod("shingle", F.lit(NEAREST_PART)) == 0), labelled))
+    by_x, by_y = (W.partitionBy(side).orderBy(F.desc("shared"), "x", "y") for side in ("x", "y"))
+    # The whole number is about NEAREST_PART times that of the part; twice as much is allowed for.
+    likely = reachable(2 * NEAREST_PART * F.col("shared"), F.col("x.size"), F.col("y.size"))
+    near = part.where(likely).select(
+        "x", "y", F.row_number().over(by_x).alias("of_x"), F.row_number().over(by_y).alias("of_y")
     )
-    labelled = spark.read.parquet(path)
+    path = scratch_path(spark, "nearest-pairs")
+    _pairs(near.where(F.least("of_x", "of_y") <= NEAREST)).write.parquet(path)
+    more = verified(docs, spark.read.parquet(path), doc_id, text)
+    known = stars.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
+    stars, labelled = _labelled(members, known.union(more))
 
     # What is left: pairs of a list, or of a group, in different components.
-    listed = stored.where(F.col("kind") == LISTED).select("shingle", "group_id", "size", "place")
-    whole = labelled.groupBy("group_id").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = (
-        listed.join(whole, "group_id")
-        .groupBy("shingle")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        .where("low <> high")
-        .select("shingle")
-    )
-    open_lists = (
-        listed.join(mixed, "shingle", "left_semi")
-        .join(labelled.select("group_id", "id", "mark", "label"), "group_id")
-        .select("shingle", "size", "place", "id", "mark", "label")
-    )
-    x, y = open_lists.alias("x"), open_lists.alias("y")
-    need = F.ceil(PERCENT * (F.col("x.size") + F.col("y.size")) / (100 + PERCENT))
-    reach = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) + 1
-    met = x.join(
-        y,
-        (F.col("x.shingle") == F.col("y.shingle"))
-        & (F.col("x.label") < F.col("y.label"))
-        & (100 * F.col("x.size") >= PERCENT * F.col("y.size"))
-        & (100 * F.col("y.size") >= PERCENT * F.col("x.size")),
-    ).select(
-        F.struct("x.id", "x.mark", "x.size").alias("x"),
-        F.struct("y.id", "y.mark", "y.size").alias("y"),
-        (reach >= need).alias("first"),
-    )
+    met = _met(_open_lists(listed, labelled))
     # The first shingle that two sets share must leave enough behind it, and all of them
     # together as well.
-    rest = (
-        met.groupBy("x", "y")
-        .agg(F.count("*").alias("shared"), F.bool_or("first").alias("first"))
-        .where(F.col("first") & reachable(F.col("shared"), F.col("x.size"), F.col("y.size")))
-        .select("x.id", "x.mark", F.col("y.id").alias("b"), F.col("y.mark").alias("b_mark"))
+    rest = _pairs(
+        met.where(
+            F.col("first") & reachable(F.col("shared"), F.col("x.size"), F.col("y.size"))
+        )
     )
+    whole = _label_range(labelled)
     parted = whole.where("low <> high").select("group_id")
     split = labelled.join(parted, "group_id", "left_semi")
     x, y = split.alias("x"), split.alias("y")
@@ -598,7 +651,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         (F.col("x.group_id") == F.col("y.group_id")) & (F.col("x.label") < F.col("y.label")),
     ).select("x.id", "x.mark", F.col("y.id").alias("b"), F.col("y.mark").alias("b_mark"))
     path = scratch_path(spark, "open-pairs")
-    rest.union(within).toDF("a", "a_mark", "b", "b_mark").distinct().write.parquet(path)
+    rest.union(within).distinct().write.parquet(path)
     more = verified(docs, spark.read.parquet(path), doc_id, text)
 
     # Copies of a set, and the sets of one id, belong together.
