@@ -575,8 +575,25 @@ def _pairs(met: DataFrame) -> DataFrame:
     )
 
 
+#: Rows of an Arrow batch: pairs of sets have some ten kilobytes each.
+BATCH_ROWS = 1000
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
+    """(doc_id, n_shingles, component_id): one row for each row of ``docs``.
+
+    All that runs in Python is done when this returns, in batches of ``BATCH_ROWS`` rows.
+    """
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
+    try:
+        return _near_duplicates(docs, doc_id, text)
+    finally:
+        conf.set(key, before)
+
+
+def _near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     bits = bucket_bits(docs, text)
     common = common_shingles(docs, text, bits)

@@ -28,7 +28,7 @@ from earshot.llm import text_arrays
 LONGEST = 2048
 END_ID = 1
 #: Bytes of text whose different words are encoded together.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 # Fixed value: the pre-tokeniser's pattern of the byte-level vocabularies.
 PATTERN = (

@@ -82,13 +82,14 @@ def _powers(n: int, base: int) -> np.ndarray:
     known = _power_table.get(base)
     if known is not None and len(known) >= n:
         return known[:n]
-    size = 1 << max(n - 1, 1).bit_length()
+    size = max(-(-n // (1 << 18)), 1) << 18
     out = np.ones(size, dtype=np.uint64)
     done = 1
     while done < size:
-        out[done : 2 * done] = out[:done] * np.uint64(pow(base, done, 2**64))
-        done *= 2
-    if size <= 1 << 23:
+        more = min(done, size - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, 2**64))
+        done += more
+    if size <= 1 << 22:
         _power_table[base] = out
     return out[:n]
 
