@@ -5,6 +5,11 @@ known licence sentence; the sequence of identifiers is then matched against orde
 Longer rules come first and consume their identifiers, so the notice of a licence inside its
 full text is not counted again.
 
+A known sentence begins and ends where some sentence or line does.  Inside of it lines may be
+wrapped (with or without comment marks) and there may be colons and semicolons, as in published
+headers, but neither a final mark nor an empty line.  ``n_sentences`` counts the finest cut: at
+each line end, final mark, colon and semicolon.
+
 Everything is a projection of Spark expressions over one row: no shuffle, no user function,
 so hot sources and copies need no care.  The rule table is fixed and small.
 
@@ -111,8 +116,29 @@ RULES = (
     ("All rights reserved", ("R1",)),
 )
 
-#: Where a sentence ends: final marks before white space, or a line end.
+# Published forms of those sentences in which * stands for a name of some words.
+FORMS = {
+    "neither the name of * nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission": "B4",
+    "* is free software you can redistribute it and or modify it under the terms of the gnu "
+    "general public license as published by the free software foundation either version 3 of the "
+    "license or at your option any later version": "G3",
+    "* is free software you can redistribute it and or modify it under the terms of the gnu "
+    "general public license as published by the free software foundation either version 2 of the "
+    "license or at your option any later version": "G4",
+    "* is distributed in the hope that it will be useful but without any warranty without even "
+    "the implied warranty of merchantability or fitness for a particular purpose": "G5",
+}
+#: The most words of a name.
+NAME_WORDS = 12
+
+#: Where a sentence of the finest cut ends: final marks before white space, or a line end.
 BREAK = r"[.!?:;]+[\x20\x09-\x0D]+|\n"
+# Comment and list marks before a line's text.
+_LEAD = r"(?m)^[^A-Za-z0-9\n]*(?:(?:dnl|DNL|rem|REM)[\x20\t]+)?(?:[0-9A-Za-z]{1,2}[.)][\x20\t]+)?[^A-Za-z0-9\n]*"
+# What no sentence goes on over (an empty line, a final mark), and what it may.
+_HARD = r"\n\n+|[.!?]+[\"')\]*/#-]*[\x20\x09-\x0D]+"
+_SOFT = r"[:;]+[\x20\x09-\x0D]+|\n"
 ADDED = ("n_sentences", "sentence_ids", "licenses", "n_licenses")
 
 
@@ -133,22 +159,48 @@ def sentences_of(text: Column) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
+def marked(text: Column) -> Column:
+    """The normalised words of a text, with ``|`` and ``~`` for breaks that end a sentence or may."""
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"\r\n?", "\n")
+    plain = F.translate(F.regexp_replace(plain, _LEAD, ""), "|~", "  ")
+    plain = F.regexp_replace(F.regexp_replace(plain, _HARD, " | "), _SOFT, " ~ ")
+    plain = F.lower(F.regexp_replace(plain, "[^A-Za-z0-9|~]+", " "))
+    return F.concat(F.lit("| "), plain, F.lit(" |"))
+
+
+def _expression(words: str) -> str:
+    """How a sentence looks in a marked text."""
+    gap = "(?: ~)* "
+    name = rf"[a-z0-9]+(?:{gap}[a-z0-9]+){{0,{NAME_WORDS - 1}}}?"
+    return gap.join(name if w == "*" else w for w in words.split())
+
+
+def known_ids(text: Column) -> Column:
+    """The identifiers of a text's known sentences, in brackets and in order."""
+    exact = sorted(SENTENCES.values(), key=len, reverse=True)
+    known = "|".join(map(_expression, [*exact, *FORMS]))
+    parts = F.regexp_extract_all(
+        marked(text), F.lit(rf"(?<=[|~] )(?:{known})(?= +[|~])"), F.lit(0)
+    )
+    table = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, f"[{i}]")])
+
+    def bracketed(part: Column) -> Column:
+        plain = F.replace(part, F.lit(" ~"), F.lit(""))
+        named = F.lit("")
+        for form, i in FORMS.items():
+            named = F.when(F.endswith(plain, F.lit(form.split("*")[1])), f"[{i}]").otherwise(named)
+        return F.coalesce(F.element_at(table, plain), named)
+
+    return F.array_join(F.transform(parts, bracketed), "")
+
+
 def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the licences found, in the order of the rules, each named once."""
     names = [c for c in docs.columns if c not in ADDED]
-    table = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, i)])
     cut = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("d"),
-        sentences_of(F.col(f"`{text}`")).alias("sentences"),
-    )
-    known = F.transform(
-        F.filter("sentences", lambda s: s.isin(*SENTENCES.values())),
-        lambda s: F.concat(F.lit("["), F.element_at(table, s), F.lit("]")),
-    )
-    cut = cut.select(
-        "d",
-        F.size("sentences").cast("long").alias("n_sentences"),
-        F.array_join(known, "").alias("sentence_ids"),
+        F.size(sentences_of(F.col(f"`{text}`"))).cast("long").alias("n_sentences"),
+        known_ids(F.col(f"`{text}`")).alias("sentence_ids"),
     )
     rules = F.array(
         *[F.struct(F.lit(n).alias("name"), F.lit(pattern(ids)).alias("ids")) for n, ids in RULES]
