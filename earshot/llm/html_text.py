@@ -47,6 +47,7 @@ _RAW = frozenset("script style textarea title noscript template iframe object sv
 _NOISE = frozenset(
     "nav header footer aside form menu dialog button select label fieldset head".split()
 )
+# Whole names only: a common word as a part of a longer name says nothing.
 _NOISE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion "
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside "
@@ -54,6 +55,25 @@ _NOISE_NAMES = frozenset(
     "comment comments disqus replies reply-list social share sharing related pagination pager "
     "contentinfo complementary search".split()
 )
+# Known longer names of the same parts, with - for _ as well.
+_NOISE_COMPOUNDS = re.compile(
+    r"(?:site|page|main|top|bottom|global|left|right|primary|secondary|mobile)-"
+    r"(?:nav|navbar|navigation|menu|header|footer|sidebar|banner|search)(?:-(?:menu|bar|wrapper|container|inner))?"
+    r"|(?:nav|navbar|navigation|menu|footer|sidebar|breadcrumbs?|header)-"
+    r"(?:menu|bar|list|links|nav|wrapper|container|inner|widget|area)"
+    r"|(?:ad|ads|advert|banner|sponsor|sponsored|promo)-"
+    r"(?:slot|box|unit|banner|container|wrapper|block|label|links?|content|top|bottom|sidebar)"
+    r"|(?:nav|navbar|menu)-(?:main|primary|secondary|top|bottom|mobile)"
+    r"|(?:banner|google|sidebar|top|bottom)-ads?|ads?-[0-9x-]+"
+    r"|cookies?-(?:notice|banner|consent|bar|popup|alert|message|policy-banner)"
+    r"|consent-(?:banner|popup|bar|modal)|gdpr-(?:banner|notice|consent)"
+    r"|newsletter-(?:signup|sign-up|form|box|popup|subscribe)|subscribe-(?:box|form|popup)"
+    r"|popup-(?:overlay|box|container)"
+    r"|comments?-(?:list|section|area|form|thread|container|wrapper)|disqus-thread"
+    r"|(?:social|share|sharing)-(?:links|buttons|bar|icons)|social-media-(?:links|buttons|icons)"
+    r"|related-(?:posts|articles|links|stories|content|news|products|items)"
+    r"|search-(?:form|box|bar|widget)|widget-(?:area|container|box)|post-(?:navigation|pagination)|pagination-(?:links|list|nav)"
+)
 _KEPT = frozenset("html body article main".split())
 _ENDS_P = _BLOCKS - {"option", "optgroup"}
 _SELF_NESTING = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "th", "th": "td", "option": "option"}
@@ -64,7 +84,10 @@ _MARKUP = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+# One attribute after the other, so that values and names like data-id are never taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|["'][^\s>]*""")
+#: The ids of these mark a place in the text, and do not say what the element is for.
+_ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p section".split())
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 
 
@@ -99,8 +122,18 @@ def _is_noise(tag: str, attributes: str) -> bool:
         return True
     if "=" not in attributes:
         return False
-    names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower()
-    return any(part in _NOISE_NAMES for name in names.split() for part in {name, *re.split("[-_]", name)})
+    seen = set()
+    for found in _ATTRIBUTE.finditer(attributes):
+        key = (found[1] or "").lower()
+        if key not in ("class", "id", "role") or key in seen:
+            continue
+        seen.add(key)  # the first of equal attributes holds
+        if key == "id" and tag in _ANCHORED:
+            continue
+        for name in _decode(found[2] or found[3] or found[4] or "").lower().split():
+            if name in _NOISE_NAMES or _NOISE_COMPOUNDS.fullmatch(name.replace("_", "-")):
+                return True
+    return False
 
 
 def parse_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int]]:

@@ -7,7 +7,7 @@ import textwrap
 import pytest
 from helpers import documents
 
-from earshot.llm import licenses
+from earshot.llm import html_text, licenses
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated \
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the \
@@ -81,3 +81,21 @@ def test_spdx_lines(spark):
     }
     rows = licenses.scan_licenses(documents(spark, list(cases))).orderBy("doc_id").collect()
     assert [r["licenses"] for r in rows] == list(cases.values())
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ('<article><h2 id="related-work">Related work</h2><p class="social-science">a</p></article>', "Related work\na"),
+        ('<article><section id="search-algorithms"><p>Binary</p></section></article>', "Binary"),
+        ('<article><h2 id="search">Search</h2><p id="notice">b</p><section id="menu"><p>c</p></section></article>', "Search\nb\nc"),
+        ('<article><p>see <a href="/item?id=search">this item</a> now</p></article>', "see this item now"),
+        ('<article><p>see <a data-id="ad-5" data-class="ad">this</a> now</p></article>', "see this now"),
+        ('<article><p title=\'class="ad"\'>text</p><div class="header-files">stdio</div></article>', "text\nstdio"),
+        ("<article><p>a</p><div class='x Ad_Slot'>buy</div><div CLASS = related-posts>b</div></article>", "a"),
+        ('<article><p>a</p><ul role=navigation><li>b</ul><div id="cookie-notice">c</div></article>', "a"),
+        ('<article><p>a</p><div class="post ad">b</div><p class="ad">c</p></article>', "a"),
+    ],
+)
+def test_common_words_in_names_are_no_noise(html, expected):
+    assert "\n".join(text for text, _ in html_text.parse_page(html)[0]) == expected
