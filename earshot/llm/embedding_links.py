@@ -5,16 +5,16 @@ vector within ``SPILL`` of a split goes to both sides, so that close vectors sel
 Vectors that meet in a leaf of any tree are compared by cosine in double precision; links are
 verified pairs, and components are unions of links.
 
-The trees are fitted on a bounded sample (``MOST_SAMPLED`` vectors, chosen by hash); every vector
+Each number of components has trees of its own, as only vectors of equal length compare.  They
+are fitted on a bounded sample (``MOST_SAMPLED`` vectors of a length, chosen by hash); every vector
 is put into its leaves.  Equal vectors are one vertex with a weight.  Leaves larger than
 ``BLOCK`` rows are cut into blocks by hash, and each pair of blocks is a task of its own, so
 nothing is dropped from a crowded leaf and no task grows with it.  A pair is counted in the
 first leaf it shares only, which a task sees from the leaf numbers that vectors carry; tasks
 return link counts and one local root for each vector, never pairs.
 
-Vectors that are null, zero or have null or non-finite components, or whose number of
-components is not that of the most, link with nothing: they have no links and are their own
-component.  Rows that share an id count as one vertex for components.  A null id has a null
+Vectors that are null, zero or have null or non-finite components link with nothing: they have
+no links and are their own component.  Rows that share an id count as one vertex for components.  A null id has a null
 component.  Repeated rows are copies and link with each other.  Labels and further columns are
 not read.
 """
@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,10 +57,12 @@ class Node:
     leaf: int = -1
 
 
-def fit_forest(sample: np.ndarray, depth: int, trees: int = TREES, seed: int = 5) -> list[Node]:
-    """Trees whose leaves are numbered through; ``sample`` has unit vectors."""
+def fit_forest(
+    sample: np.ndarray, depth: int, trees: int = TREES, seed: int = 5, first: int = 0
+) -> list[Node]:
+    """Trees whose leaves are numbered through from ``first``; ``sample`` has unit vectors."""
     draw = np.random.default_rng(seed)
-    count = 0
+    count = first
 
     def grow(rows: np.ndarray, levels: int) -> Node:
         nonlocal count
@@ -113,6 +116,22 @@ def route(forest: list[Node], units: np.ndarray, spill: float = SPILL) -> tuple[
     return row[order], leaf[order]
 
 
+def route_lengths(
+    forests: dict[int, list[Node]], column: pa.Array, kind: str, spill: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """As ``route``, for stored vectors of any lengths; ``forests`` are by number of bytes."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
+    rows, leaves = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        row, leaf = route(forests[int(size)], _units(_matrix(column.take(pa.array(at)), kind)), spill)
+        rows.append(at[row])
+        leaves.append(leaf)
+    row, leaf = np.concatenate(rows), np.concatenate(leaves)
+    order = np.lexsort((leaf, row))
+    return row[order], leaf[order]
+
+
 def _matrix(column: pa.Array, kind: str) -> np.ndarray:
     """The stored bytes of vectors as rows of doubles."""
     raw = b"".join(x.as_py() for x in column)
@@ -230,28 +249,36 @@ def link_vectors(
     path = scratch_path(spark, "vectors")
     different.write.parquet(path)
     different = spark.read.parquet(path)
-    lengths = different.groupBy(F.octet_length("vector").alias("bytes")).agg(F.sum("n").alias("n"))
-    usual = lengths.orderBy(F.desc("n"), "bytes").first()
-    if usual is None:
+    size = F.octet_length("vector")
+    # One row for each length.
+    lengths = different.groupBy(size.alias("bytes")).agg(F.count("*").alias("n")).orderBy("bytes").collect()
+    if not lengths:
         return prepared.select(
             "vec_id",
             F.lit(0).cast("long").alias("n_links"),
             F.col("vec_id").alias("component_id"),
             F.lit(True).alias("kept"),
         )
-    different = different.where(F.octet_length("vector") == usual["bytes"])
-    total = different.count()
-    sample = different.orderBy(F.xxhash64(F.lit(11), "key"), "key").limit(most_sampled)
-    fitted = _units(_matrix(sample.select("vector").toArrow().column("vector").combine_chunks(), kind))
-    depth = min(MOST_DEPTH, max(0, math.ceil(math.log2(max(total / leaf_rows, 1)))))
-    forest = spark.sparkContext.broadcast(fit_forest(fitted, depth, trees))
-    n_leaves = leaf_count(forest.value)
+    forests: dict[int, list[Node]] = {}
+    n_leaves = 0
+    for length in lengths:
+        depth = min(MOST_DEPTH, max(0, math.ceil(math.log2(max(length["n"] / leaf_rows, 1)))))
+        if depth:
+            own = different.where(size == length["bytes"])
+            sample = own.orderBy(F.xxhash64(F.lit(11), "key"), "key").limit(most_sampled)
+            column = sample.select("vector").toArrow().column("vector").combine_chunks()
+            grown = fit_forest(_units(_matrix(column, kind)), depth, trees, first=n_leaves)
+        else:  # one leaf has all pairs
+            grown = [Node(leaf=n_leaves)]
+        forests[length["bytes"]] = grown
+        n_leaves = leaf_count(grown)
+    forest = spark.sparkContext.broadcast(forests)
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(n_leaves, np.int64)
         for batch in batches:
             if batch.num_rows:
-                _, leaf = route(forest.value, _units(_matrix(batch.column(0), kind)), spill)
+                _, leaf = route_lengths(forest.value, batch.column(0), kind, spill)
                 counts += np.bincount(leaf, minlength=n_leaves)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(n_leaves)), pa.array(counts)], names=["leaf", "n"]
@@ -273,7 +300,7 @@ def link_vectors(
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                row, leaf = route(forest.value, _units(_matrix(part.column(1), kind)), spill)
+                row, leaf = route_lengths(forest.value, part.column(1), kind, spill)
                 begin = np.searchsorted(row, np.arange(part.num_rows + 1))
                 lists = [leaf[s:e].astype(np.int32).tobytes() for s, e in zip(begin, begin[1:], strict=False)]
                 own = np.array([int(k.as_py()[:12], 16) for k in part.column(0)])[row] % blocks[leaf]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import textwrap
 
+import numpy as np
 import pytest
-from helpers import documents
+from helpers import components, documents
 
-from earshot.llm import html_text, licenses
+from earshot.llm import embedding_links, html_text, licenses
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated \
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the \
@@ -99,3 +100,27 @@ def test_spdx_lines(spark):
 )
 def test_common_words_in_names_are_no_noise(html, expected):
     assert "\n".join(text for text, _ in html_text.parse_page(html)[0]) == expected
+
+
+@pytest.mark.parametrize(("leaf_rows", "block"), [(1000, 2000), (30, 20)])
+def test_embeddings_of_several_lengths(spark, leaf_rows, block):
+    draw = np.random.default_rng(4)
+    found = []
+    for dims, n in ((16, 60), (8, 40), (3, 1)):
+        base = draw.normal(size=(n, dims))
+        found += [*base, *(base + 0.02 * draw.normal(size=base.shape)), *base]
+    found = [found[i] for i in draw.permutation(len(found))]
+    expected = [
+        [
+            j
+            for j, y in enumerate(found)
+            if i != j and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.9
+        ]
+        for i, x in enumerate(found)
+    ]
+    rows = [(i, [float(c) for c in x]) for i, x in enumerate(found)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = embedding_links.link_vectors(table, leaf_rows=leaf_rows, block=block).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == {i: len(x) for i, x in enumerate(expected)}
+    pairs = [(i, j) for i, x in enumerate(expected) for j in x]
+    assert {r["vec_id"]: r["component_id"] for r in got} == components(range(len(found)), pairs)
