@@ -206,6 +206,82 @@ def op10() -> str:
     FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN smallest ON x = d.doc_id"""
 
 
+def op12() -> str:
+    return """
+    WITH hashed AS (
+        SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents),
+    drawn AS (
+        SELECT doc_id, t, length(t) AS n, ('0x' || h[1:8])::UBIGINT AS h1,
+               ('0x' || h[9:16])::UBIGINT AS h2, ('0x' || h[17:24])::UBIGINT AS h3,
+               ('0x' || h[25:32])::UBIGINT AS h4
+        FROM hashed),
+    formed AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1))::BIGINT AS a,
+               greatest(h1 % (n + 1), h2 % (n + 1))::BIGINT AS b,
+               CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                         OR h3 % 100 >= 90 THEN 'plain'
+                    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM drawn),
+    cut AS (
+        SELECT *, '<P>' || substring(t, 1, a) AS p, '<M>' || substring(t, a + 1, b - a) AS m,
+               '<S>' || substring(t, b + 1, n - b) AS s
+        FROM formed)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN s || p || m
+                            ELSE p || s || m END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM cut"""
+
+
+def op13() -> str:
+    distance = (
+        "list_sum(list_transform(range(1, len(x) + 1), "
+        "lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT"
+    )
+    rounds = "".join(
+        f"""
+    near{k} AS MATERIALIZED (
+        SELECT vec_id, p, any_value(x) AS x, min({distance} * 64 + e) AS best
+        FROM parts JOIN book{k} USING (p) GROUP BY vec_id, p),
+    sums{k} AS (
+        SELECT p, best % 64 AS e, i, sum(x[i]) AS total, count(*) AS many
+        FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM near{k}) GROUP BY ALL),
+    means{k} AS (
+        SELECT p, e, list(floor(total / many)::BIGINT ORDER BY i) AS m FROM sums{k} GROUP BY p, e),
+    book{k + 1} AS MATERIALIZED (
+        SELECT p, e, coalesce(m, c) AS c FROM book{k} LEFT JOIN means{k} USING (p, e)),"""
+        for k in range(2)
+    )
+    return f"""
+    WITH kept AS (
+        SELECT vec_id, label,
+               list_transform(embedding, lambda y: floor(256 * y::DOUBLE)::BIGINT) AS v
+        FROM embeddings WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+    parts AS MATERIALIZED (
+        SELECT vec_id, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS x
+        FROM kept, (SELECT unnest(range(16)) AS p)),
+    book0 AS MATERIALIZED (
+        SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts
+        WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)),
+    {rounds}
+    last AS (
+        SELECT vec_id, p, min({distance} * 64 + e) AS best
+        FROM parts JOIN book2 USING (p) GROUP BY vec_id, p),
+    codes AS MATERIALIZED (
+        SELECT vec_id, string_agg(lower(printf('%02x', (best % 64)::INTEGER)), '' ORDER BY p) AS code,
+               sum(best // 64)::BIGINT AS error
+        FROM last GROUP BY vec_id),
+    labels_of AS (
+        SELECT vec_id, code, error, label FROM codes JOIN kept USING (vec_id)),
+    books AS (
+        SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS s FROM book2)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           s AS codebooks_sha256
+    FROM labels_of, books"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": op1(),
@@ -214,4 +290,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_source_mixing": op5(),
         "op8_embedding_links": op8(),
         "op10_ngram_join": op10(),
+        "op12_fill_in_middle": op12(),
+        "op13_vector_codes": op13(),
     }

@@ -12,12 +12,15 @@ from earshot.llm import (
     classifier,
     embedding_links,
     html_text,
+    infilling,
     licenses,
     mixing,
     ngram_join,
     packing,
     quality_rules,
     secrets,
+    token_counts,
+    vector_codes,
 )
 from earshot.llm.common import table
 
@@ -30,12 +33,14 @@ MIX_OTHER = 1.0
 MIX_SEED = 42
 #: The public vocabulary that packing counts in.
 VOCABULARY = "byte_bpe_50k.json"
+#: The public vocabulary whose tokens are counted.
+COUNTED_VOCABULARY = "word_bpe_49k.json"
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def automata() -> dict[str, secrets.Automaton]:
@@ -118,6 +123,22 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(docs)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, vocabulary_path(COUNTED_VOCABULARY))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return infilling.digest(infilling.restored(infilling.transform(docs)))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -130,4 +151,7 @@ def queries() -> dict[str, Query]:
         "op8_embedding_links": op8_embedding_links,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_ngram_join": op10_ngram_join,
+        "op11_token_counts": op11_token_counts,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_vector_codes": op13_vector_codes,
     }
