@@ -260,14 +260,24 @@ def top_tracks_weekly(
 
 
 def genre_preferences(
-    history: DataFrame, artists: DataFrame, as_of: Day, window_days: int = 30
+    history: DataFrame,
+    artists: DataFrame,
+    as_of: Day,
+    window_days: int = 30,
+    by_user: bool = False,
 ) -> DataFrame:
-    """Plays per user and genre; plays are counted per artist before genres are unfolded."""
+    """Plays per user and genre; plays are counted per artist before genres are unfolded.
+
+    ``by_user`` shuffles a user's counted artists together, so that whatever groups or ranks
+    the genres of a user afterwards needs no further shuffle.
+    """
     recent = history.where(since(F.col("played_at"), as_of, window_days))
     per_artist = recent.groupBy("user_id", "artist_id").agg(F.count(F.lit(1)).alias("n"))
+    counted = join_artists(per_artist, artists, "genres").select("user_id", "n", "genres")
+    if by_user:
+        counted = counted.repartition("user_id")
     return (
-        join_artists(per_artist, artists, "genres")
-        .select("user_id", "n", F.explode("genres").alias("genre"))
+        counted.select("user_id", "n", F.explode("genres").alias("genre"))
         .groupBy("user_id", "genre")
         .agg(F.sum("n").alias("genre_plays"))
     )
@@ -364,7 +374,7 @@ def user_listening_patterns(
         on_weekdays("0", "6").alias("weekend_plays"),
     )
     ranked = top_rank(
-        genre_preferences(history, artists, as_of, window_days),
+        genre_preferences(history, artists, as_of, window_days, by_user=True),
         ["user_id"],
         F.desc("genre_plays"),
         F.asc("genre"),
