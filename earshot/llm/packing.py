@@ -49,8 +49,8 @@ class Encoder:
     Byte-level BPE treats each piece of the pre-tokeniser on its own, and a blank before
     something else than white space always begins a piece.  So texts are cut at blanks, the
     different words of a chunk (told apart by 64-bit hashes) are encoded together, and the ids
-    are put back in order.  Texts with characters outside Latin, or with blanks inside a
-    run of white space, go to the tokeniser itself.
+    are put back in order.  Texts with characters outside Latin, with blanks inside a run of
+    white space, or with a special string, which is one id, go to the tokeniser itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -58,10 +58,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         special = {token["content"] for token in spec["added_tokens"]}
+        self.special = [content.encode() for content in special]
         byte_of = _byte_letters()
         ranks = {
             bytes(byte_of[c] for c in token): rank
@@ -119,8 +119,7 @@ class Encoder:
         per_row = np.bincount(part_row, weights=part_n, minlength=n).astype(np.int64)
         return out, np.concatenate([[0], np.cumsum(per_row)])
 
-    @staticmethod
-    def _left_to_tokenizer(texts: text_arrays.Texts) -> np.ndarray:
+    def _left_to_tokenizer(self, texts: text_arrays.Texts) -> np.ndarray:
         data = texts.data
         odd = np.zeros(len(texts.starts), dtype=bool)
         if not len(data):
@@ -135,6 +134,13 @@ class Encoder:
         before[begin], behind[last] = False, True
         bad |= blank & before & behind
         odd[np.searchsorted(texts.ends, np.flatnonzero(bad), side="right")] = True
+        raw = data.tobytes()
+        for special in self.special:
+            at = raw.find(special)
+            while at >= 0:
+                # Across two texts it only sends one more text to the tokeniser.
+                odd[np.searchsorted(texts.ends, at, side="right")] = True
+                at = raw.find(special, at + 1)
         return odd
 
     def _words(

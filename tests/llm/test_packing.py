@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from helpers import documents
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from earshot.llm import packing
 from earshot.llm.queries import vocabulary_path
@@ -32,6 +33,14 @@ def test_ids_are_those_of_the_tokeniser(encoder):
     assert encoded(encoder, texts) == [encoder.whole(t or "").tolist() + [1] for t in texts]
 
 
+def test_special_strings_are_the_ids_that_the_library_gives(encoder):
+    library = Tokenizer.from_file(vocabulary_path())
+    texts = ["<|endoftext|>", "a b <|endoftext|> c<|endoftext|>", "<|endof", "text|> x", "a <|endoftext |>", "b c"]
+    expected = [library.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert encoded(encoder, texts) == expected
+    assert [50256 in ids for ids in expected] == [True, True, False, False, False, False]
+
+
 def test_ids_of_an_empty_column(encoder):
     assert encoded(encoder, []) == []
 
