@@ -357,19 +357,24 @@ def _stream_ingest_accounting(c: Canonical) -> DataFrame:
     return union_counts({t: ingest.read_ingested(c.spark, f"{base}/tables", t) for t in tables})
 
 
+#: Files that the counters' feed is cut into, one per batch.
+COUNTER_BATCHES = 4
+
+
 def _stream_counters(c: Canonical) -> DataFrame:
-    """Counters of the feed, stored as deltas per batch and then compacted."""
+    """Counters of the feed in several batches, stored as deltas that are summed in levels."""
     base = scratch_path(c.spark, "counters")
+    feed = event_values(c.read("events")).select("value").repartition(COUNTER_BATCHES)
+    feed.write.text(f"{base}/landing")
     fields = ("event_type", "song_id", "search_query", "error_type")
     query = (
-        decode.decode_events(_feed(c), *fields)
-        .writeStream.foreachBatch(ingest.write_counter_batch(f"{base}/deltas"))
+        decode.decode_events(readers.read_event_files(c.spark, f"{base}/landing", 1), *fields)
+        .writeStream.foreachBatch(ingest.write_counter_batch(f"{base}/deltas", fan=2))
         .option("checkpointLocation", f"{base}/progress")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    ingest.compact_counters(c.spark, f"{base}/deltas", 1)
     return ingest.read_counters(c.spark, f"{base}/deltas")
 
 

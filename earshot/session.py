@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app_name: str = "earshot", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings every job here relies on.
 
@@ -20,6 +23,8 @@ def build_session(app_name: str = "earshot", master: str | None = None, **conf)
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Keys of stateful streams lie on the executors' disks, not in their heap.
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.ui.showConsoleProgress", "false")
     )
     if master:

@@ -3,16 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from earshot.operators.changes import dedupe_first
+from earshot.sinks.levels import FAN, LevelledRuns
 from earshot.sinks.writers import read_or_empty, write_partitioned
-from earshot.streaming.decode import TABLES, decode_events, is_storable, route
+from earshot.streaming.decode import (
+    PROJECTIONS,
+    TABLES,
+    decode_events,
+    is_storable,
+    quarantine,
+)
+from earshot.streaming.event_ids import KEYS, SeenIds
 
 WATERMARK = "1 hour"
 
@@ -20,73 +30,87 @@ WATERMARK = "1 hour"
 def dedupe(events: DataFrame, key: str = "event_id", watermark: str = WATERMARK) -> DataFrame:
     """Drop repeated events inside a stream with bounded state.
 
-    Events later than the watermark are dropped too; ``start_ingest`` uses ``once_per_id``
+    Events later than the watermark are dropped too; ``start_ingest`` looks ids up in a table
     instead, so that nothing is lost.
     """
     return events.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark([key])
 
 
-def write_event_batch(base_path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function writing each event type to its own Parquet table.
+def write_event_batch(base_path: str, fan: int = FAN) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function writing each event type to its own Parquet table, once per event.
 
-    Tables are partitioned by event date and batch, and no table is read: repeated events
-    are left out by ``once_per_id`` before.  A repeated batch replaces its own partitions, so a
-    restart neither loses nor repeats rows.  A type without rows in the batch writes nothing.
+    An event id is stored once, whenever and with whatever date it is delivered again; the
+    ids of earlier batches are looked up in ``<base_path>/_ids``.  Events that cannot be
+    stored are all kept in the quarantine.  The batch is decoded once.
+
+    Tables are partitioned by event date and batch, and none of them is read.  A repeated batch
+    replaces its own partitions and ids, so a restart neither loses nor repeats rows.  A type
+    without rows in the batch writes nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        seen = SeenIds(batch.sparkSession, f"{base_path}/_ids", fan=fan)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        once = dedupe_first(batch.where(is_storable()), list(KEYS), F.col("event_ts"))
+        once = once.persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = seen.unseen(once.select(*KEYS), batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        storable = once
+        if seen.filters.runs(batch_id):
+            storable = once.join(fresh.select(*KEYS), list(KEYS), "left_semi")
+        aside = quarantine(batch).withColumn("batch_id", F.lit(batch_id))
+        steps = [
+            partial(write_partitioned, aside, f"{base_path}/quarantine", ["batch_id"]),
+            partial(seen.add, fresh, batch_id),
+        ]
+        for kind, table in TABLES.items():
+            dated = PROJECTIONS[kind](storable).withColumns(
+                {"batch_id": F.lit(batch_id), "date": F.to_date("timestamp")}
+            )
+            steps.append(
+                partial(write_partitioned, dated, f"{base_path}/{table}", ["date", "batch_id"])
+            )
         try:
-            for kind, rows in route(batch).items():
-                path = f"{base_path}/{TABLES.get(kind, kind)}"
-                stamped = rows.withColumn("batch_id", F.lit(batch_id))
-                if kind == "quarantine":
-                    write_partitioned(stamped, path, ["batch_id"])
-                    continue
-                dated = dedupe_first(stamped, [rows.columns[0]], F.col("timestamp")).withColumn(
-                    "date", F.to_date("timestamp")
-                )
-                write_partitioned(dated, path, ["date", "batch_id"])
+            _at_once(batch.sparkSession, steps)
         finally:
-            batch.unpersist()
+            for kept in (fresh, once, batch):
+                kept.unpersist()
 
     return write
 
 
-def once_per_id(events: DataFrame) -> DataFrame:
-    """Events of a stream with each (type, id) passed on once, whenever and with whatever time
-    it is delivered again; events that go to quarantine are all kept.
-
-    The ids seen are the query's state, which is looked up by key (with the RocksDB provider on
-    local disk), so a batch costs its own rows and not the stored ones.
-    """
-    storable = events.where(is_storable()).dropDuplicates(["event_type", "event_id"])
-    return storable.unionByName(events.where(~F.coalesce(is_storable(), F.lit(False))))
+def _at_once(spark: SparkSession, steps: list[Callable[[], None]]) -> None:
+    """Runs independent jobs side by side, as each alone would leave executors idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        for job in running:
+            job.result()
 
 
-def table_schemas(spark: SparkSession) -> dict[str, StructType]:
-    """The schema of each ingest table, whether or not it has rows yet."""
+def table_schema(spark: SparkSession, name: str) -> StructType:
+    """The schema of an ingest table, whether or not it has rows yet."""
     events = decode_events(spark.createDataFrame([], "value string"))
-    schemas = {}
-    for kind, rows in route(events).items():
-        stamped = rows.withColumn("batch_id", F.lit(0))
-        if kind != "quarantine":
-            stamped = stamped.withColumn("date", F.to_date("timestamp"))
-        schemas[TABLES.get(kind, kind)] = stamped.schema
-    return schemas
+    batch_id = F.lit(0).alias("batch_id")
+    if name == "quarantine":
+        return quarantine(events).select("*", batch_id).schema
+    kind = next(kind for kind, table in TABLES.items() if table == name)
+    return PROJECTIONS[kind](events).select("*", batch_id, F.to_date("timestamp").alias("date")).schema
 
 
 def read_ingested(spark: SparkSession, base_path: str, name: str) -> DataFrame:
     """One of the tables that the ingest has written; empty if it has no rows yet."""
-    return read_or_empty(spark, f"{base_path}/{name}", table_schemas(spark)[name])
+    return read_or_empty(spark, f"{base_path}/{name}", table_schema(spark, name))
 
 
 def start_ingest(
     feed: DataFrame, base_path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Decode, drop repeated ids, route and write; progress and ids are kept in the checkpoint."""
+    """Decode, drop repeated ids, route and write; progress is kept in the checkpoint.
+
+    The numbers of its batches tell ids of earlier batches from its own, so the tables belong to one
+    checkpoint.
+    """
     return (
-        once_per_id(decode_events(feed))
+        decode_events(feed)
         .writeStream.foreachBatch(write_event_batch(base_path))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
@@ -109,47 +133,35 @@ def counter_deltas(events: DataFrame) -> DataFrame:
     )
 
 
-def write_counter_batch(path: str) -> Callable[[DataFrame, int], None]:
+COUNTERS = "metric_type string, entity_id string, count long"
+
+
+def _counted(deltas: DataFrame, *_) -> DataFrame:
+    return deltas.groupBy("metric_type", "entity_id").agg(F.sum("count").alias("count"))
+
+
+def counter_runs(spark: SparkSession, path: str, fan: int = FAN) -> LevelledRuns:
+    """The counters' deltas: a run per batch, summed in levels."""
+    return LevelledRuns(spark, path, COUNTERS, _counted, fan)
+
+
+def write_counter_batch(path: str, fan: int = FAN) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function storing one batch's deltas; a repeated batch replaces them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        deltas = counter_deltas(batch).withColumn("batch_id", F.lit(batch_id))
-        write_partitioned(deltas, path, ["batch_id"])
+        counter_runs(batch.sparkSession, path, fan).add(batch_id, counter_deltas(batch))
 
     return write
 
 
-COUNTERS = "metric_type string, entity_id string, count long, batch_id int"
-
-
 def compact_counters(spark: SparkSession, path: str, before: int) -> None:
-    """Sum the deltas of the batches below ``before`` into a folder of their own.
-
-    The sums carry the last batch they hold, and ``read_counters`` passes over deltas up to it,
-    so a run that breaks off between writing and a later clean-up counts nothing twice.
-    """
-    sums = read_counters(spark, path, before)
-    sums.write.mode("overwrite").parquet(f"{path}-sums/upto={before - 1}")
+    """Sums the deltas of all batches below ``before`` into one run, before a long read."""
+    counter_runs(spark, path).compact(before)
 
 
 def read_counters(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Current counters: the last sums and all deltas stored since."""
-    sums = read_or_empty(
-        spark, f"{path}-sums", "metric_type string, entity_id string, count long, upto int"
-    )
-    last = sums.agg(F.max("upto")).first()[0]
-    deltas = read_or_empty(spark, path, COUNTERS)
-    if last is not None:
-        deltas = deltas.where(F.col("batch_id") > last)
-    if before is not None:
-        deltas = deltas.where(F.col("batch_id") < before)
-    kept = ["metric_type", "entity_id", "count"]
-    return (
-        sums.where(F.col("upto") == F.lit(last)).select(*kept)
-        .unionByName(deltas.select(*kept))
-        .groupBy("metric_type", "entity_id")
-        .agg(F.sum("count").alias("count"))
-    )
+    """Current counters, from a few runs on each of log(batches) levels."""
+    return _counted(counter_runs(spark, path).read(before))
 
 
 def with_end_of_input(stream: DataFrame, path: str, time: str, **marker) -> DataFrame:
