@@ -72,3 +72,45 @@ def sessionize(plays: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     slot = F.floor(F.unix_timestamp(F.col("played_at").cast("timestamp")) / width)
     numbers = _slots(plays, gap_minutes).select("user_id", "_slot", "session_no")
     return plays.withColumn("_slot", slot).join(numbers, ["user_id", "_slot"], "left").drop("_slot")
+
+
+def slot_intervals(plays: DataFrame, ts: str, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """Plays as intervals (user_id, first, last, plays, ms), one per user and time slot.
+
+    A slot is as wide as the gap, so its plays are in one session, and a user's intervals are
+    bounded by the clock.
+    """
+    slot = F.floor(F.unix_timestamp(ts) / (gap_minutes * 60))
+    return (
+        plays.groupBy("user_id", slot.alias("_slot"))
+        .agg(
+            F.min(ts).alias("first"),
+            F.max(ts).alias("last"),
+            F.count(F.lit(1)).alias("plays"),
+            F.coalesce(F.sum("ms_played"), F.lit(0)).alias("ms"),
+        )
+        .drop("_slot")
+    )
+
+
+def merge_intervals(intervals: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """Intervals of a user that overlap or lie within the gap of each other, as one.
+
+    Merging is associative: sessions may be merged again with later intervals, in any order.
+    """
+    order = W.partitionBy("user_id").orderBy("first", "last")
+    reached = F.max("last").over(order.rowsBetween(W.unboundedPreceding, -1))
+    pause = F.unix_micros("first") - F.unix_micros(reached)
+    starts = F.coalesce(pause > gap_minutes * 60_000_000, F.lit(True)).cast("int")
+    return (
+        intervals.withColumn("_starts", starts)
+        .withColumn("_session", F.sum("_starts").over(order.rowsBetween(W.unboundedPreceding, 0)))
+        .groupBy("user_id", "_session")
+        .agg(
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+            F.sum("plays").alias("plays"),
+            F.sum("ms").alias("ms"),
+        )
+        .drop("_session")
+    )

@@ -925,6 +925,16 @@ _SQL: dict[str, str] = {
         FROM feed GROUP BY 1""",
     "stream_sessions": """
         SELECT * FROM all_sessions""",
+    "stream_sessions_late": """
+        SELECT * FROM all_sessions""",
+    "stream_late_plays": """
+        SELECT user_id, count(*) FILTER (NOT is_late) AS in_sessions,
+               count(*) FILTER (is_late) AS late
+        FROM (SELECT user_id, event_id % 3 = 0 AND played_at <
+                     (SELECT max(played_at) FROM plays WHERE event_id % 3 <> 0)
+                     - INTERVAL 10 MINUTE AS is_late
+              FROM plays)
+        GROUP BY user_id""",
     "stream_dedupe": """
         SELECT CASE event_type WHEN 'song_play' THEN 'song_plays' WHEN 'auth' THEN 'auth_events'
                  WHEN 'search' THEN 'search_events' WHEN 'playlist' THEN 'playlist_events'

@@ -16,7 +16,7 @@ from earshot.session import scratch_path
 from earshot.sinks import writers
 from earshot.sources import readers
 from earshot.sources.canonical import Canonical, event_values
-from earshot.streaming import decode, ingest, metrics
+from earshot.streaming import decode, ingest, late_sessions, metrics
 
 AS_OF = "2024-01-29"
 START, END = "2024-01-10", "2024-01-16"
@@ -314,6 +314,47 @@ def _stream_sessions(c: Canonical) -> DataFrame:
     )
 
 
+def _out_of_order(c: Canonical) -> late_sessions.SessionTables:
+    """All plays as a stream of two deliveries: every third play comes after all others."""
+    base = scratch_path(c.spark, "late-sessions")
+    plays = c.plays.select(
+        "event_id", "user_id", F.col("played_at").cast("timestamp").alias("event_ts"), "ms_played"
+    )
+    second = F.col("event_id") % 3 == 0
+    for delivery in (plays.where(~second), plays.where(second)):
+        delivery.drop("event_id").write.mode("append").parquet(f"{base}/landing")
+        feed = c.spark.readStream.schema(plays.drop("event_id").schema).parquet(f"{base}/landing")
+        query = late_sessions.start_sessions(
+            feed, f"{base}/tables", f"{base}/progress", {"availableNow": True}
+        )
+        query.awaitTermination()
+    return late_sessions.SessionTables(c.spark, f"{base}/tables")
+
+
+def _stream_sessions_late(c: Canonical) -> DataFrame:
+    """Sessions of plays that come out of order, repaired with those that came late."""
+    found = late_sessions.repaired_sessions(_out_of_order(c))
+    return found.select(
+        "user_id",
+        F.col("first").cast("timestamp_ntz").alias("session_start"),
+        (F.col("last").cast("timestamp_ntz") + F.expr("INTERVAL 30 MINUTES")).alias("session_end"),
+        F.col("plays").alias("tracks_in_session"),
+        F.col("ms").alias("ms_in_session"),
+    )
+
+
+def _stream_late_plays(c: Canonical) -> DataFrame:
+    """Plays per user in sessions and in the side table: together all plays."""
+    tables = _out_of_order(c)
+    known = tables.closed().drop("batch_id").unionByName(tables.open())
+    return (
+        known.select("user_id", F.col("plays").alias("in_sessions"), F.lit(0).alias("late"))
+        .unionByName(tables.late().select("user_id", F.lit(0).alias("in_sessions"), F.lit(1).alias("late")))
+        .groupBy("user_id")
+        .agg(F.sum("in_sessions").alias("in_sessions"), F.sum("late").alias("late"))
+    )
+
+
 def _stream_dedupe(c: Canonical) -> DataFrame:
     """The feed delivered twice, ingested once: rows per target table."""
     feed = _feed(c)
@@ -566,6 +607,8 @@ _QUERIES: dict[str, Callable[[Canonical], DataFrame]] = {
     "stream_events_by_platform": _stream_platforms,
     "stream_route_counts": _stream_route_counts,
     "stream_sessions": _stream_sessions,
+    "stream_sessions_late": _stream_sessions_late,
+    "stream_late_plays": _stream_late_plays,
     "stream_dedupe": _stream_dedupe,
     "stream_ingest_accounting": _stream_ingest_accounting,
     "stream_counters": _stream_counters,
