@@ -973,12 +973,18 @@ _SQL: dict[str, str] = {
         FROM dated""",
     "sink_append_new": "SELECT event_id, user_id, ms_played, played_at, date FROM dated",
     "sink_staging": """
-        SELECT event_id, user_id, ms_played, played_at, date, date AS process_date FROM dated
-        WHERE date IN (DATE '2024-01-10', DATE '2024-01-11')""",
-    "sink_versions": """
-        SELECT user_id, username, country || CASE WHEN user_id % 3 = 0 THEN '!' ELSE '' END
-                 AS country
-        FROM users WHERE user_id % 2 = 0 OR user_id % 3 = 0""",
+        SELECT event_id, user_id, ms_played, played_at, date, date AS process_date FROM dated""",
+    "sink_versions": "SELECT user_id, username, country || '!' AS country FROM users",
+    "sink_insert_new": """
+        SELECT event_id, user_id, played_at,
+               CASE WHEN ms_played >= 30000 THEN ms_played ELSE -ms_played END AS ms_played
+        FROM dated""",
+    "sink_keyed": """
+        SELECT event_id, user_id, played_at, ms_played
+               + CASE WHEN date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' THEN 1 ELSE 0 END
+                 AS ms_played
+        FROM dated
+        UNION ALL SELECT -event_id - 1, user_id, played_at, ms_played FROM dated""",
     "files_json": """
         SELECT user_id, username, country, NULL::VARCHAR AS _corrupt_record FROM users""",
     "table_counts": _counts(

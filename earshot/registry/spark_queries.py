@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.operators import changes, quality, sessions
+from earshot.operators.filters import date_between
 from earshot.operators.grouping import union_counts
 from earshot.operators.joins import lookup_with_default
 from earshot.plans import activity, daily, extracts, features, marts
 from earshot.session import scratch_path
 from earshot.sinks import writers
+from earshot.sinks.keyed import KeyedTable
 from earshot.sources import readers
 from earshot.sources.canonical import Canonical, event_values
 from earshot.streaming import decode, ingest, late_sessions, metrics
@@ -460,26 +462,46 @@ def _sink_append_new(c: Canonical) -> DataFrame:
 
 
 def _sink_staging(c: Canonical) -> DataFrame:
-    """Days staged one by one and each loaded twice."""
+    """All days staged, loaded, and a load that finds nothing more to do."""
     base = scratch_path(c.spark, "staging")
-    for d in ("2024-01-10", "2024-01-11"):
-        one = _dated(c).where(F.col("date") == F.lit(d).cast("date"))
-        writers.write_partitioned(one, f"{base}/staged", ["date"])
-        for _ in range(2):
-            writers.load_staged(f"{base}/staged", f"{base}/final", d)
+    writers.write_partitioned(_dated(c), f"{base}/staged", ["date"])
+    for _ in range(2):
+        writers.load_staged_days(f"{base}/staged", f"{base}/final")
     return c.spark.read.parquet(f"{base}/final")
 
 
 def _sink_versions(c: Canonical) -> DataFrame:
-    """A table without a first version, upserted twice and read in another session."""
+    """A table without a first version, filled, upserted and read in another session."""
     base = scratch_path(c.spark, "versions")
     users = c.users.select("user_id", "username", "country")
-    writers.upsert_table(c.spark, base, users.where(F.col("user_id") % 2 == 0), ["user_id"])
+    writers.upsert_table(c.spark, base, users, ["user_id"])
     moved = users.withColumn("country", F.concat("country", F.lit("!")))
-    writers.upsert_table(c.spark, base, moved.where(F.col("user_id") % 3 == 0), ["user_id"])
+    writers.upsert_table(c.spark, base, moved, ["user_id"])
     return writers.current_version(c.spark, base)
 
 
+def _sink_keyed(c: Canonical) -> DataFrame:
+    """All plays committed by key, a week's changed, and all once more under other ids."""
+    table = KeyedTable(c.spark, scratch_path(c.spark, "keyed"), ["event_id"], file_rows=20_000)
+    plays = c.plays.select("event_id", "user_id", "ms_played", "played_at")
+    table.upsert(plays)
+    week = plays.where(date_between(F.col("played_at"), "2024-01-08", "2024-01-14"))
+    table.upsert(week.withColumn("ms_played", F.col("ms_played") + 1))
+    table.upsert(plays.withColumn("event_id", -F.col("event_id") - 1))
+    table.expire(1)
+    return table.read()
+
+
+def _sink_insert_new(c: Canonical) -> DataFrame:
+    """Plays delivered twice, in another order and with other values, are stored as they first came."""
+    table = KeyedTable(c.spark, scratch_path(c.spark, "inserted"), ["event_id"], file_rows=20_000)
+    plays = c.plays.select("event_id", "user_id", "ms_played", "played_at")
+    table.insert_new(plays.where(F.col("ms_played") >= 30_000), F.col("played_at"))
+    again = plays.withColumn("ms_played", -F.col("ms_played"))
+    table.insert_new(again.union(again), F.col("played_at"))
+    return table.read()
+
+
 def _files_json(c: Canonical) -> DataFrame:
     path = scratch_path(c.spark, "json")
     writers.write_json(c.users.select("user_id", "username", "country"), path)
@@ -622,6 +644,8 @@ _QUERIES: dict[str, Callable[[Canonical], DataFrame]] = {
     "sink_append_new": _sink_append_new,
     "sink_staging": _sink_staging,
     "sink_versions": _sink_versions,
+    "sink_keyed": _sink_keyed,
+    "sink_insert_new": _sink_insert_new,
     "files_json": _files_json,
     # quality
     "table_counts": _table_counts,

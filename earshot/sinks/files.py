@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -23,6 +25,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(place))
 
 
+def age_hours(spark: SparkSession, path: str) -> float:
+    """Hours since a file or folder was last changed."""
+    system, place = _at(spark, path)
+    return time.time() / 3600 - system.getFileStatus(place).getModificationTime() / 3_600_000
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Removes a file or a folder with all it holds; an absent one is left alone."""
     system, place = _at(spark, path)

@@ -14,6 +14,7 @@ from earshot.functions.time import day as day_literal
 from earshot.functions.time import seconds_between
 from earshot.operators import changes
 from earshot.schemas import ETL_LOGS, PIPELINE_EXECUTIONS, project_schema
+from earshot.sinks import files
 
 BATCH_SIZE = 1000
 BUCKETS = 10
@@ -194,6 +195,25 @@ def load_staged(
     filesystem.delete(hadoop_path, True)
 
 
+def load_staged_days(
+    staging_path: str, final_path: str, schema: StructType | str | None = None
+) -> None:
+    """Load all staged days in one pass, each into its own partition, then empty their staging.
+
+    Days staged meanwhile are left for the next run, as are days loaded earlier.
+    """
+    spark = SparkSession.active()
+    base = staging_path.rstrip("/")
+    folders = [f"{base}/{name}" for name in files.names(spark, base) if name.startswith("date=")]
+    if not folders:
+        return
+    reader = spark.read.option("basePath", base)
+    staging = (reader.schema(schema) if schema else reader).parquet(*folders)
+    write_partitioned(staging.withColumn("process_date", F.col("date")), final_path, ["date"])
+    for folder in folders:
+        files.delete(spark, folder)
+
+
 def run_log(
     records: DataFrame, name: str, environment: str, start: str, end: str, d: str | dt.date
 ) -> DataFrame:
