@@ -170,14 +170,26 @@ def user_listening_stats(
         F.sum("ms_played").alias("ms"),
         F.lit(1).cast("long").alias("tracks"),
     )
+    days = recent_days(plays, as_of, window_days)
+    return stats_of(per_track, days, tracks, artists, as_of, run_ts)
+
+
+def stats_of(
+    per_track: DataFrame,
+    days: DataFrame,
+    tracks: DataFrame,
+    artists: DataFrame,
+    as_of: Day,
+    run_ts: Column | None = None,
+) -> DataFrame:
+    """User statistics of plays counted per track, and of the minutes of recent days."""
     additive = ["plays", "ms", "tracks"]
-    facets = taste_facets(per_track, tracks, artists, ["user_id"], "plays", additive, plays)
+    facets = taste_facets(per_track, tracks, artists, ["user_id"], "plays", additive, per_track)
     totals = facets.groupBy("user_id").agg(
         *[F.sum(c).alias(c) for c in additive],
         facet_top("artist").alias("favorite_artist_id"),
         facet_top("genre").alias("favorite_genre"),
     )
-    days = recent_days(plays, as_of, window_days)
     # One window over a user's days gives both the daily statistics and the streaks.
     order = W.partitionBy("user_id").orderBy("activity_date")
     islands = days.withColumn(

@@ -744,6 +744,11 @@ _SQL: dict[str, str] = {
         SELECT *, {RUN_TS} AS last_updated
         FROM ({_STATS.format(plays='plays', days='listening_days', runs='runs')})""",
     "listening_streaks": "SELECT * FROM runs",
+    "upkeep_streaks": "SELECT * FROM runs",
+    "upkeep_active_users": _ACTIVE_RANGE,
+    "upkeep_user_stats": f"""
+        SELECT *, {RUN_TS} AS last_updated
+        FROM ({_STATS.format(plays='plays', days='listening_days', runs='runs')})""",
     "top_tracks_weekly": _WEEKLY,
     "user_listening_patterns": _PATTERNS,
     "genre_preferences": "SELECT * FROM user_genres",

@@ -13,6 +13,7 @@ from earshot.operators.filters import date_between
 from earshot.operators.grouping import union_counts
 from earshot.operators.joins import lookup_with_default
 from earshot.plans import activity, daily, extracts, features, marts
+from earshot.plans.upkeep import UserUpkeep
 from earshot.session import scratch_path
 from earshot.sinks import writers
 from earshot.sinks.keyed import KeyedTable
@@ -357,6 +358,20 @@ def _stream_late_plays(c: Canonical) -> DataFrame:
     )
 
 
+#: Parts that the days are dealt to, in no order of time.
+UPKEEP_BATCHES = 3
+
+
+def _upkeep(c: Canonical, *kept: str) -> UserUpkeep:
+    """States of all plays, added in batches of days out of order."""
+    states = UserUpkeep(c.spark, scratch_path(c.spark, "upkeep"), fan=2, kept=kept)
+    day = F.coalesce(F.unix_date(F.to_date("played_at")), F.lit(0))
+    part = F.pmod(day * 7, F.lit(UPKEEP_BATCHES))
+    for batch in range(UPKEEP_BATCHES):
+        states.add(batch, c.plays.where(part == batch))
+    return states
+
+
 def _stream_dedupe(c: Canonical) -> DataFrame:
     """The feed delivered twice, ingested once: rows per target table."""
     feed = _feed(c)
@@ -547,6 +562,13 @@ _QUERIES: dict[str, Callable[[Canonical], DataFrame]] = {
     "user_listening_stats": lambda c: marts.user_listening_stats(
         c.plays, c.tracks, c.artists, AS_OF, 30, run_ts()
     ),
+    "upkeep_streaks": lambda c: _upkeep(c, "runs").listening_streaks(AS_OF),
+    "upkeep_user_stats": lambda c: _upkeep(c, "tracks", "days").user_listening_stats(
+        c.tracks, c.artists, AS_OF, 30, run_ts()
+    ),
+    "upkeep_active_users": lambda c: _upkeep(c, "words").active_users_range(
+        c.users, "2024-01-05", "2024-02-03"
+    ),
     "listening_streaks": lambda c: marts.listening_streaks(c.plays, AS_OF),
     "top_tracks_weekly": lambda c: marts.top_tracks_weekly(
         c.plays, c.tracks, c.artists, c.albums, AS_OF
