@@ -19,7 +19,7 @@ from earshot.operators.joins import orphans
 RESULT = ["check_name", "violations", "status"]
 
 
-def _graded(df: DataFrame) -> DataFrame:
+def graded(df: DataFrame) -> DataFrame:
     status = F.when(F.col("violations") == 0, "success").otherwise("failure")
     return df.withColumn("status", status).select(*RESULT)
 
@@ -34,7 +34,7 @@ def check_counts(df: DataFrame, violations: dict[str, Column]) -> DataFrame:
             for i, n in enumerate(names)
         ]
     )
-    return _graded(counted.select(F.inline(pairs)))
+    return graded(counted.select(F.inline(pairs)))
 
 
 def check_rows(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -104,7 +104,7 @@ def check_unique(df: DataFrame, table: str, *columns: str) -> DataFrame:
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
     repeated = find_duplicates(df.where(present), list(columns))
     name = f"unique:{table}.{'+'.join(columns)}"
-    return _graded(
+    return graded(
         repeated.agg(F.count(F.lit(1)).alias("violations")).withColumn("check_name", F.lit(name))
     )
 
@@ -114,7 +114,7 @@ def check_fk(
 ) -> DataFrame:
     """Number of child rows whose non-null key has no parent row."""
     missing = orphans(child, column, parent, key or column)
-    return _graded(
+    return graded(
         missing.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")).withColumn(
             "check_name", F.lit(f"fk:{table}.{column}")
         )
@@ -125,7 +125,7 @@ def check_min_rows(frames: dict[str, DataFrame], minimum: int) -> DataFrame:
     """Rows missing to the minimum, per table."""
     return union(
         *[
-            _graded(
+            graded(
                 df.agg(
                     F.greatest(F.lit(minimum) - F.count(F.lit(1)), F.lit(0)).alias("violations")
                 ).withColumn("check_name", F.lit(f"min_rows:{name}"))
@@ -138,7 +138,7 @@ def check_min_rows(frames: dict[str, DataFrame], minimum: int) -> DataFrame:
 def check_rows_for_date(df: DataFrame, d: str | dt.date, ts: str = "played_at") -> DataFrame:
     """One violation when the day has no rows."""
     found = df.where(on_date(F.col(ts), d)).agg(F.count(F.lit(1)).alias("n"))
-    return _graded(
+    return graded(
         found.select(
             F.lit(f"rows_for_date:{d}").alias("check_name"),
             (F.col("n") == 0).cast("long").alias("violations"),
@@ -162,7 +162,7 @@ def check_flow(raw: DataFrame, mart: DataFrame) -> DataFrame:
 def check_schemas(spark: SparkSession, names: list[str]) -> DataFrame:
     """One violation per missing schema; the names are configuration, not data."""
     rows = [(f"schema:{n}", 0 if spark.catalog.databaseExists(n) else 1) for n in names]
-    return _graded(spark.createDataFrame(rows, "check_name string, violations long"))
+    return graded(spark.createDataFrame(rows, "check_name string, violations long"))
 
 
 def check_user_invariants(daily: DataFrame, table: str = "user_daily") -> DataFrame:

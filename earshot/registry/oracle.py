@@ -1023,6 +1023,18 @@ _SQL: dict[str, str] = {
     ),
     "dq_invariants": _invariants(),
     "dq_checks": _union([*_DQ_UNIQUE, *_DQ_NOT_NULL, *_DQ_FK, *_DQ_OTHER]),
+    "dq_observed": _union(
+        [
+            *_DQ_NOT_NULL,
+            *_DQ_OTHER,
+            _check(
+                "in:streaming_history.platform",
+                "SELECT count(*) FROM plays WHERE platform NOT IN ('android', 'ios', 'web')",
+            ),
+            _range("streaming_history", "plays", "ms_played", "ms_played >= 0"),
+            _range("tracks", "tracks", "popularity", "popularity BETWEEN 0 AND 100"),
+        ]
+    ),
     "dq_report": f"""
         SELECT count(*) AS total_checks, count(*) FILTER (status = 'success') AS passed_checks,
                round(count(*) FILTER (status = 'success') * 100.0::DOUBLE / count(*), 6)

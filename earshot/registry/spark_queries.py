@@ -15,7 +15,7 @@ from earshot.operators.joins import lookup_with_default
 from earshot.plans import activity, daily, extracts, features, marts
 from earshot.plans.upkeep import UserUpkeep
 from earshot.session import scratch_path
-from earshot.sinks import writers
+from earshot.sinks import checked, writers
 from earshot.sinks.keyed import KeyedTable
 from earshot.sources import readers
 from earshot.sources.canonical import Canonical, event_values
@@ -248,6 +248,40 @@ def _dq_checks(c: Canonical) -> DataFrame:
     )
 
 
+def _dq_observed(c: Canonical) -> DataFrame:
+    """Row checks of the tables, counted by the passes that write them; plays come in two batches."""
+    base = scratch_path(c.spark, "checked")
+
+    def not_null(table: str) -> dict[str, Column]:
+        return {f"not_null:{table}.{name}": quality.is_missing(name) for name in NOT_NULL[table]}
+
+    plays = checked.TableChecks(
+        not_null("streaming_history")
+        | {
+            "in:streaming_history.platform": quality.not_in("platform", ["android", "ios", "web"]),
+            "range:streaming_history.ms_played": quality.outside("ms_played", 0, None),
+        },
+        dates=(AS_OF, "2024-03-01"),
+        minimum=20,
+        rows_name="plays",
+    )
+    tracks = checked.TableChecks(
+        not_null("tracks") | {"range:tracks.popularity": quality.outside("popularity", 0, 100)},
+        minimum=20,
+        rows_name="tracks",
+    )
+    users = checked.TableChecks(not_null("users"))
+    checked.write_checked(c.users, f"{base}/users", [], users, f"{base}/counts/users")
+    checked.write_checked(c.tracks, f"{base}/tracks", [], tracks, f"{base}/counts/tracks")
+    dated = c.plays.withColumn("date", F.to_date("played_at"))
+    early = F.coalesce(F.col("date") < F.lit("2024-01-15").cast("date"), F.lit(True))
+    for batch_id, batch in enumerate((dated.where(early), dated.where(~early))):
+        checked.write_checked(
+            batch, f"{base}/plays", ["date"], plays, f"{base}/counts/plays", batch_id
+        )
+    return checked.read_checks(c.spark, *[f"{base}/counts/{t}" for t in ("users", "tracks", "plays")])
+
+
 def _dq_report(c: Canonical) -> DataFrame:
     return quality.dq_report(_dq_checks(c))
 
@@ -677,6 +711,7 @@ _QUERIES: dict[str, Callable[[Canonical], DataFrame]] = {
     "dq_range": _dq_range,
     "dq_invariants": _dq_invariants,
     "dq_checks": _dq_checks,
+    "dq_observed": _dq_observed,
     "dq_report": _dq_report,
     "gap_days": _gap_days,
     "duplicates": lambda c: quality.find_duplicates(
