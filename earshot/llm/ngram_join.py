@@ -33,11 +33,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.llm import text_arrays
+from earshot.llm.common import lean
 from earshot.llm.components import connected_components
 from earshot.session import scratch_path
 
@@ -123,6 +125,7 @@ def common_shingles(docs: DataFrame, text: str, bits: int) -> np.ndarray:
     documents whose set has a shingle with it.
     """
 
+    @lean
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_arrays.parts(batches, 0):
             codes = [
@@ -144,6 +147,7 @@ def common_shingles(docs: DataFrame, text: str, bits: int) -> np.ndarray:
                 names=["bucket", "codes"],
             )
 
+    @lean
     def frequent(block: pa.Table) -> pa.Table:
         codes = np.sort(np.concatenate([unpack_sorted(x.as_py()) for x in block.column("codes")]))
         names, counts = np.unique(codes, return_counts=True)
@@ -237,6 +241,7 @@ def group_lists(docs: DataFrame, common: np.ndarray, bits: int, doc_id: str, tex
     """Rows of three kinds: documents, groups listed under a shingle, and leader pairs."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
+    @lean
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = Order(shared.value, bits)
         for batch in text_arrays.parts(batches, 1):
@@ -297,6 +302,7 @@ def group_lists(docs: DataFrame, common: np.ndarray, bits: int, doc_id: str, tex
                 names=["bucket", "shingles", "groups", "sizes", "places", "docs"],
             )
 
+    @lean
     def joined(block: pa.Table) -> pa.Table:
         documents = [_from_bytes(x.as_py()) for x in block.column("docs") if x.is_valid]
         lists = [
@@ -461,6 +467,7 @@ def verified(
     The texts of the ids in question are looked up, turned to sets and compared.
     """
 
+    @lean
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_arrays.parts(batches, 1):
             for texts in text_arrays.chunks(batch.column(1)):
@@ -546,34 +553,178 @@ def _open_lists(listed: DataFrame, labelled: DataFrame) -> DataFrame:
     )
 
 
-def _met(open_lists: DataFrame) -> DataFrame:
-    """Pairs (x, y) of different labels and fitting sizes, with the number of lists they share."""
-    x, y = open_lists.alias("x"), open_lists.alias("y")
-    need = F.ceil(PERCENT * (F.col("x.size") + F.col("y.size")) / (100 + PERCENT))
-    reach = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) + 1
+#: Members of one component that meet others together, and pairs that a task counts at a time.
+BLOCK_MEMBERS = 256
+PAIRS_AT_ONCE = 1 << 20
+
+PAIR_SCHEMA = (
+    "x_id long, x_mark long, x_size int, y_id long, y_mark long, y_size int, shared long"
+)
+_ENDS = ("x_id", "x_mark", "x_size", "y_id", "y_mark", "y_size")
+
+
+def _can_reach(shared: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """As ``reachable``, for arrays."""
+    behind = np.maximum(-(-PERCENT * size_a // 100), -(-PERCENT * size_b // 100)) - 1
+    return shared + behind >= -(-PERCENT * (size_a + size_b) // (100 + PERCENT))
+
+
+def _blocks(open_lists: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The members of each list, gathered by label in blocks of about ``BLOCK_MEMBERS``.
+
+    A member's block is that of its hash in every list, so two members always meet in the same
+    pair of blocks.
+    """
+    most = labelled.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    chunk = F.pmod(F.xxhash64("id"), F.lit(-(-most // BLOCK_MEMBERS) or 1)).cast("int")
     return (
-        x.join(
-            y,
-            (F.col("x.shingle") == F.col("y.shingle"))
-            & (F.col("x.label") < F.col("y.label"))
-            & (100 * F.col("x.size") >= PERCENT * F.col("y.size"))
-            & (100 * F.col("y.size") >= PERCENT * F.col("x.size")),
+        open_lists.withColumn("chunk", chunk)
+        .groupBy("shingle", "label", "chunk")
+        .agg(
+            F.collect_list(F.struct("id", "mark", "size", "place")).alias("members"),
+            F.min("size").alias("least"),
+            F.max("size").alias("most"),
         )
-        .select(
-            F.struct("x.id", "x.mark", "x.size").alias("x"),
-            F.struct("y.id", "y.mark", "y.size").alias("y"),
-            (reach >= need).alias("first"),
-        )
-        .groupBy("x", "y")
-        .agg(F.count("*").alias("shared"), F.bool_or("first").alias("first"))
     )
 
 
-def _pairs(met: DataFrame) -> DataFrame:
-    return met.select("x.id", "x.mark", F.col("y.id"), F.col("y.mark")).toDF(
-        "a", "a_mark", "b", "b_mark"
+def _crossed(block: pa.RecordBatch, group: np.ndarray) -> dict[str, np.ndarray]:
+    """All pairs of the two blocks of each row that fit in size."""
+    sides, counts = {}, {}
+    for side in "xy":
+        lists = block.column(side)
+        counts[side] = np.diff(lists.offsets.to_numpy())
+        members = lists.flatten()
+        for name in ("id", "mark", "size", "place"):
+            sides[f"{side}_{name}"] = members.field(name).to_numpy(zero_copy_only=False)
+    rows = counts["x"] * counts["y"]
+    row = np.repeat(np.arange(len(rows)), rows)
+    within = np.arange(len(row)) - np.repeat(np.cumsum(rows) - rows, rows)
+    begin = {side: np.cumsum(counts[side]) - counts[side] for side in "xy"}
+    at = {
+        "x": begin["x"][row] + within // counts["y"][row],
+        "y": begin["y"][row] + within % counts["y"][row],
+    }
+    out = {name: values[at[name[0]]] for name, values in sides.items()}
+    x, y = out["x_size"].astype(np.int64), out["y_size"].astype(np.int64)
+    need = -(-PERCENT * (x + y) // (100 + PERCENT))
+    reach = np.minimum(x - out.pop("x_place"), y - out.pop("y_place")) + 1
+    fits = (100 * x >= PERCENT * y) & (100 * y >= PERCENT * x)
+    out |= {"first": reach >= need, "group": group[row], "shared": np.ones(len(row), np.int64)}
+    return {name: values[fits] for name, values in out.items()}
+
+
+def _added(pairs: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Equal pairs as one: their numbers of lists added, and whether any was a first one."""
+    order = np.lexsort(tuple(pairs[k] for k in ("y_mark", "y_id", "x_mark", "x_id", "group")))
+    pairs = {name: values[order] for name, values in pairs.items()}
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for name in ("group", "x_id", "x_mark", "y_id", "y_mark"):
+        new[1:] |= pairs[name][1:] != pairs[name][:-1]
+    at = np.flatnonzero(new)
+    if not len(at):
+        return pairs
+    out = {name: values[at] for name, values in pairs.items()}
+    out["shared"] = np.add.reduceat(pairs["shared"], at)
+    out["first"] = np.logical_or.reduceat(pairs["first"], at)
+    return out
+
+
+def _best(pairs: dict[str, np.ndarray], most: int) -> np.ndarray:
+    """Whether a pair is among the ``most`` of its group that share most with either end."""
+    kept = np.zeros(len(pairs["shared"]), bool)
+    for side in "xy":
+        ends = [pairs[k] for k in (f"{side}_mark", f"{side}_id", "group")]
+        order = np.lexsort((pairs["y_id"], pairs["x_id"], -pairs["shared"], *ends))
+        new = np.ones(len(order), bool)
+        new[1:] = False
+        for end in ends:
+            new[1:] |= end[order][1:] != end[order][:-1]
+        begin = np.flatnonzero(new)
+        rank = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+        kept[order[rank < most]] = True
+    return kept
+
+
+def _met(open_lists: DataFrame, labelled: DataFrame, judge, nearest: int | None = None) -> DataFrame:
+    """Pairs of members of different labels that ``judge`` lets pass, with the lists they share.
+
+    Blocks of members meet instead of members, and a task counts their pairs: what leaves it are
+    only pairs that ``judge(shared, first, x_size, y_size)`` holds for, ``first`` saying whether
+    one of the shingles that they share may be the first one of similar sets.  ``nearest``
+    keeps the pairs of each pair of blocks that share most.  A pair of blocks is in one task, which
+    holds the counts of one such pair beside the ``PAIRS_AT_ONCE`` pairs it looks at.
+    """
+    blocks = _blocks(open_lists, labelled)
+    x, y = blocks.alias("x"), blocks.alias("y")
+    keys = ["x_label", "x_chunk", "y_label", "y_chunk"]
+    met = x.join(
+        y,
+        (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.label") < F.col("y.label"))
+        & (100 * F.col("x.most") >= PERCENT * F.col("y.least"))
+        & (100 * F.col("y.most") >= PERCENT * F.col("x.least")),
+    ).select(
+        F.col("x.label").alias("x_label"),
+        F.col("x.chunk").alias("x_chunk"),
+        F.col("y.label").alias("y_label"),
+        F.col("y.chunk").alias("y_chunk"),
+        F.col("x.members").alias("x"),
+        F.col("y.members").alias("y"),
     )
 
+    @lean
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] | None = None
+        last, number = None, 0
+
+        def passed(pairs: dict[str, np.ndarray]) -> pa.RecordBatch:
+            good = judge(*(pairs[k] for k in ("shared", "first", "x_size", "y_size")))
+            pairs = {name: values[good] for name, values in pairs.items()}
+            if nearest is not None:
+                kept = _best(pairs, nearest)
+                pairs = {name: values[kept] for name, values in pairs.items()}
+            return pa.RecordBatch.from_arrays(
+                [pa.array(pairs[k]) for k in (*_ENDS, "shared")], names=[*_ENDS, "shared"]
+            )
+
+        for batch in batches:
+            names = np.stack([batch.column(k).to_numpy() for k in range(4)], axis=1)
+            changes = np.ones(len(names), bool)
+            changes[1:] = (names[1:] != names[:-1]).any(axis=1)
+            changes[:1] = last is None or (names[:1] != last).any()
+            group = number + np.cumsum(changes)
+            if len(names):
+                last, number = names[-1], int(group[-1])
+            sizes = np.cumsum(
+                pc.list_value_length(batch.column(4)).to_numpy().astype(np.int64)
+                * pc.list_value_length(batch.column(5)).to_numpy()
+            )
+            row = 0
+            while row < batch.num_rows:
+                before = sizes[row - 1] if row else 0
+                end = max(row + 1, int(np.searchsorted(sizes, before + PAIRS_AT_ONCE, "right")))
+                part = pa.RecordBatch.from_arrays(
+                    [batch.column(k).slice(row, end - row) for k in (4, 5)], names=["x", "y"]
+                )
+                pairs = _crossed(part, group[row:end])
+                if held is not None:
+                    pairs = {k: np.concatenate([held[k], v]) for k, v in pairs.items()}
+                pairs = _added(pairs)
+                going_on = pairs["group"] == group[end - 1]
+                held = {k: v[going_on] for k, v in pairs.items()}
+                yield passed({k: v[~going_on] for k, v in pairs.items()})
+                row = end
+        if held is not None:
+            yield passed(held)
+
+    return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(counted, PAIR_SCHEMA)
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select("x_id", "x_mark", "y_id", "y_mark").toDF("a", "a_mark", "b", "b_mark")
+
 
 #: Rows of an Arrow batch: pairs of sets have some ten kilobytes each.
 BATCH_ROWS = 1000
@@ -637,12 +788,19 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     listed = stored.where(F.col("kind") == LISTED).select("shingle", "group_id", "size", "place")
 
     # Members that no leader reached try those first that seem nearest by a part of the shingles.
-    part = _met(_open_lists(listed.where(F.pmod("shingle", F.lit(NEAREST_PART)) == 0), labelled))
-    by_x, by_y = (W.partitionBy(side).orderBy(F.desc("shared"), "x", "y") for side in ("x", "y"))
-    # The whole number is about NEAREST_PART times that of the part; twice as much is allowed for.
-    likely = reachable(2 * NEAREST_PART * F.col("shared"), F.col("x.size"), F.col("y.size"))
-    near = part.where(likely).select(
-        "x", "y", F.row_number().over(by_x).alias("of_x"), F.row_number().over(by_y).alias("of_y")
+    open_lists = _open_lists(
+        listed.where(F.pmod("shingle", F.lit(NEAREST_PART)) == 0), labelled
+    )
+
+    def likely(shared, _, x_size, y_size):
+        # The whole number is about NEAREST_PART times that of the part; twice as much is allowed for.
+        return _can_reach(2 * NEAREST_PART * shared, x_size.astype(np.int64), y_size)
+
+    part = _met(open_lists, labelled, likely, NEAREST)
+    order = F.desc("shared"), "x_id", "y_id"
+    by_x, by_y = (W.partitionBy(f"{s}_id", f"{s}_mark").orderBy(*order) for s in "xy")
+    near = part.select(
+        "*", F.row_number().over(by_x).alias("of_x"), F.row_number().over(by_y).alias("of_y")
     )
     path = scratch_path(spark, "nearest-pairs")
     _pairs(near.where(F.least("of_x", "of_y") <= NEAREST)).write.parquet(path)
@@ -651,14 +809,12 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     stars, labelled = _labelled(members, known.union(more))
 
     # What is left: pairs of a list, or of a group, in different components.
-    met = _met(_open_lists(listed, labelled))
-    # The first shingle that two sets share must leave enough behind it, and all of them
-    # together as well.
-    rest = _pairs(
-        met.where(
-            F.col("first") & reachable(F.col("shared"), F.col("x.size"), F.col("y.size"))
-        )
-    )
+    def possible(shared, first, x_size, y_size):
+        # The first shingle that two sets share must leave enough behind it, and all of them
+        # together as well.
+        return first & _can_reach(shared, x_size.astype(np.int64), y_size)
+
+    rest = _pairs(_met(_open_lists(listed, labelled), labelled, possible))
     whole = _label_range(labelled)
     parted = whole.where("low <> high").select("group_id")
     split = labelled.join(parted, "group_id", "left_semi")

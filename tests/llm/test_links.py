@@ -152,3 +152,46 @@ def test_embeddings_without_vectors(spark):
     copies = spark.createDataFrame([(4, [1.0, 0.0])] * 3 + [(9, [2.0, 0.0])], "vec_id long, embedding array<double>")
     rows = embedding_links.link_vectors(copies).collect()
     assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in rows} == {(4, 3, 4), (9, 3, 4)}
+
+
+@pytest.mark.parametrize("nearest", [None, 2])
+def test_pairs_that_meet_in_lists_are_counted_whole(spark, monkeypatch, nearest):
+    """Blocks and parts of any size count the same pairs as a plain loop over the lists."""
+    monkeypatch.setattr(ngram_join, "BLOCK_MEMBERS", 3)
+    monkeypatch.setattr(ngram_join, "PAIRS_AT_ONCE", 7)
+    draw = random.Random(12)
+    members = [(i, i % 2, draw.choice([18, 20, 22, 40]), draw.choice([0, 0, 0, 5, 6])) for i in range(40)]
+    rows = [
+        (shingle, size, draw.randint(1, 5), i, mark, label)
+        for shingle in range(30)
+        for i, mark, size, label in draw.sample(members, draw.randint(2, 25))
+    ]
+    lists = spark.createDataFrame(rows, "shingle long, size int, place int, id long, mark long, label long")
+    labelled = lists.select("id", "mark", "size", "label").distinct()
+    expected = {}
+    for shingle, size, place, i, mark, label in rows:
+        for other, size2, place2, j, mark2, label2 in rows:
+            if other != shingle or label >= label2 or not 0.8 <= size / size2 <= 1.25:
+                continue
+            reach = min(size - place, size2 - place2) + 1
+            key = (i, mark, size, j, mark2, size2)
+            shared, first = expected.get(key, (0, False))
+            need = ngram_join.least_overlap(size, size2)
+            expected[key] = (shared + 1, first or reach >= need)
+
+    def judge(shared, first, x_size, y_size):
+        return first & (shared > 1)
+
+    found = ngram_join._met(lists, labelled, judge, nearest).collect()
+    got = {tuple(r)[:6]: r["shared"] for r in found}
+    assert len(got) == len(found)
+    whole = {k: n for k, (n, first) in expected.items() if first and n > 1}
+    if nearest is None:
+        assert got == whole and len(whole) > 50
+    else:
+        assert got.items() <= whole.items() and len(got) < len(whole)
+        # Each member keeps the pair that shares most.
+        for side in (0, 3):
+            for key in {k[side] for k in whole}:
+                best = max(n for k, n in whole.items() if k[side] == key)
+                assert best in [n for k, n in got.items() if k[side] == key]
