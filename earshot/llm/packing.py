@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm import text_arrays
+from earshot.llm.common import lean
 
 LONGEST = 2048
 END_ID = 1
@@ -209,6 +210,7 @@ def pack_documents(
         raise ValueError("the longest length must be a power of two")
     id_type = docs.schema[doc_id].dataType.simpleString()
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path).encode
         for batch in batches:

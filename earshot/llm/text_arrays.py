@@ -78,7 +78,7 @@ _power_table: dict[int, np.ndarray] = {}
 
 
 def _powers(n: int, base: int) -> np.ndarray:
-    """base**0 ... base**(n-1) modulo 2**64; kept by the process up to a few million."""
+    """base**0 ... base**(n-1) modulo 2**64; kept by the process up to some 16 MB."""
     known = _power_table.get(base)
     if known is not None and len(known) >= n:
         return known[:n]
@@ -89,7 +89,7 @@ def _powers(n: int, base: int) -> np.ndarray:
         more = min(done, size - done)
         out[done : done + more] = out[:more] * np.uint64(pow(base, done, 2**64))
         done += more
-    if size <= 1 << 22:
+    if size <= 1 << 21:
         _power_table[base] = out
     return out[:n]
 
