@@ -984,6 +984,8 @@ _SQL: dict[str, str] = {
         SELECT event_id, user_id, played_at,
                CASE WHEN ms_played >= 30000 THEN ms_played ELSE -ms_played END AS ms_played
         FROM dated""",
+    "split_scan": """
+        SELECT count(*) AS n_rows, 0::BIGINT AS not_in_one_range, TRUE AS balanced FROM lineitem""",
     "sink_keyed": """
         SELECT event_id, user_id, played_at, ms_played
                + CASE WHEN date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' THEN 1 ELSE 0 END
@@ -1076,7 +1078,8 @@ def _with_tables(sql: str) -> str:
                 needed.add(name)
                 pending.append(body)
     parts = [f"{name} AS ({body})" for name, body in _TABLES.items() if name in needed]
-    return f"WITH {', '.join(parts)}\nSELECT * FROM ({sql}) AS result"
+    prefix = f"WITH {', '.join(parts)}\n" if parts else ""
+    return f"{prefix}SELECT * FROM ({sql}) AS result"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -17,7 +17,7 @@ from earshot.plans.upkeep import UserUpkeep
 from earshot.session import scratch_path
 from earshot.sinks import checked, writers
 from earshot.sinks.keyed import KeyedTable
-from earshot.sources import readers
+from earshot.sources import readers, splits
 from earshot.sources.canonical import Canonical, event_values
 from earshot.streaming import decode, ingest, late_sessions, metrics
 
@@ -551,6 +551,20 @@ def _sink_insert_new(c: Canonical) -> DataFrame:
     return table.read()
 
 
+def _split_scan(c: Canonical) -> DataFrame:
+    """Whether ranges of order keys hold every line once, and none over 1.5 times the mean."""
+    lines = c.read("lineitem")
+    ranges = splits.split_predicates(lines.select("l_orderkey"), "l_orderkey", 16)
+    hits = F.array(*[F.expr(f"coalesce({condition}, false)") for condition in ranges])
+    held = lines.select(F.filter(F.sequence(F.lit(0), F.lit(len(ranges) - 1)), lambda i: hits[i]).alias("at"))
+    sizes = held.groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum(F.when(F.size("at") != 1, F.col("n")).otherwise(0)).alias("not_in_one_range"),
+        (F.max("n") <= 1.5 * F.avg("n")).alias("balanced"),
+    )
+
+
 def _files_json(c: Canonical) -> DataFrame:
     path = scratch_path(c.spark, "json")
     writers.write_json(c.users.select("user_id", "username", "country"), path)
@@ -703,6 +717,7 @@ _QUERIES: dict[str, Callable[[Canonical], DataFrame]] = {
     "sink_keyed": _sink_keyed,
     "sink_insert_new": _sink_insert_new,
     "files_json": _files_json,
+    "split_scan": _split_scan,
     # quality
     "table_counts": _table_counts,
     "dq_unique": _dq_unique,

@@ -25,16 +25,23 @@ def read_jdbc(
     date: str | dt.date | None = None,
     *,
     split: dict | None = None,
+    predicates: list[str] | None = None,
     **options,
 ) -> DataFrame:
     """Run ``query`` in the database; ``:date`` in it is replaced by the checked date.
 
-    ``split`` = {"column", "lower", "upper", "partitions"} reads ranges in parallel; without
-    it a database read is a single task, which only suits one day of a small table.
+    ``split`` = {"column", "lower", "upper", "partitions"} reads ranges of equal width in parallel;
+    ``predicates``, such as ``splits.split_predicates`` makes of a sample of keys, read one part
+    each, of about equal size.  Without either a database read is a single task, which only suits
+    one day of a small table.
     """
     if date is not None:
         checked = dt.date.fromisoformat(str(date))
         query = query.replace(":date", f"DATE '{checked.isoformat()}'")
+    if predicates:
+        properties = {"fetchsize": str(FETCH_SIZE)} | {k: str(v) for k, v in options.items()}
+        source_rows = f"({query}) AS source_rows"
+        return spark.read.jdbc(url, source_rows, predicates=predicates, properties=properties)
     reader = spark.read.format("jdbc").option("url", url).option("fetchsize", FETCH_SIZE)
     if split:
         reader = (
