@@ -13,8 +13,8 @@ Three base patterns are always reported; the automata add spans, none are remove
 are in code points, ends exclusive.
 
 Learning takes at most ``MOST_EXAMPLES`` labelled credentials of each format on the driver;
-the automata (some hundred numbers) go with the tasks.  Scanning is independent by row, without
-a shuffle: hot sources, copies and long texts need no care.  Null text is empty and has no spans.
+the automata (some hundred numbers) go with the tasks.  Scanning is linear in a text, also where
+prefixes follow one another without end, and independent by row, without a shuffle: hot sources, copies and long texts need no care.  Null text is empty and has no spans.
 Repeated rows give repeated results; further columns are carried along.
 """
 
@@ -25,6 +25,7 @@ import json
 import math
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -161,14 +162,24 @@ class Automaton:
             return -math.inf
         total, at = 0.0, 0
         for char in word[len(self.prefix) :]:
-            state, kind = self.states[at], symbol(char)
-            if kind not in self.alphabet:
-                return -math.inf
-            # What the examples do not show here counts half an example.
-            total += math.log(state.taken.get(kind, 0.5) / (state.seen + 0.5) / _ALIKE.get(kind, 1))
-            at = state.to.get(kind, 0)
+            chance, at = self.step(at, char)
+            total += chance
+            if total == -math.inf:
+                return total
+        return total + self.end(at)
+
+    def step(self, at: int, char: str) -> tuple[float, int]:
+        """The log-likelihood of one character in a state, and the next state."""
+        state, kind = self.states[at], symbol(char)
+        if kind not in self.alphabet:
+            return -math.inf, 0
+        # What the examples do not show here counts half an example.
+        chance = state.taken.get(kind, 0.5) / (state.seen + 0.5) / _ALIKE.get(kind, 1)
+        return math.log(chance), state.to.get(kind, 0)
+
+    def end(self, at: int) -> float:
         last = self.states[at]
-        return total + math.log((last.ends or 0.5) / (last.seen + 0.5))
+        return math.log((last.ends or 0.5) / (last.seen + 0.5))
 
 
 def _prefix_tree(words: Iterable[str]) -> list[State]:
@@ -293,22 +304,90 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], BASE_KINDS.index(s[0])))
 
 
-def _reach(automaton: Automaton, text: str) -> tuple[float, int]:
-    """How far the score of what ``text`` begins with is above the least one, and its length."""
-    parts = [automaton, *automaton.rest]
-    words = text.split(".", len(parts))[: len(parts)]
-    if len(words) < len(parts):
-        return -math.inf, 0
-    last, fixed = words[-1], parts[-1].longest
-    ends = [last, last.rstrip("-_")]
-    if fixed < len(last) and last[int(fixed)] in "-_":
-        ends.append(last[: int(fixed)])
-    for end in dict.fromkeys(ends):
-        word = ".".join([*words[:-1], end])
-        above = automaton.score(word) - automaton.least
-        if above >= 0:
-            return above, len(word)
-    return -math.inf, 0
+class _Run:
+    """A run of key characters whose parts are scored without reading a place for each begin.
+
+    Two begins that are in one state at one place have the same future.  Log-likelihoods from there to
+    the end of a part are kept at every ``STEP``-th place, so the time is linear in the run.
+    """
+
+    STEP = 64
+
+    def __init__(self, text: str):
+        self.text = text
+        self.dots = [m.start() for m in re.finditer(r"\.", text)]
+        self.breaks = [m.start() for m in re.finditer(r"[/+]", text)]  # no automaton goes on over these
+        self.futures: dict[tuple, float] = {}
+        self.trimmed: dict[int, int] = {}
+
+    def words(self, at: int, parts: int) -> list[tuple[int, int]]:
+        """Begin and end of the next ``parts`` dotted words; none if there are fewer."""
+        k = bisect_left(self.breaks, at)
+        stop = self.breaks[k] if k < len(self.breaks) else len(self.text)
+        k, found = bisect_left(self.dots, at), []
+        for i in range(k, k + parts):
+            end = min(self.dots[i] if i < len(self.dots) else stop, stop)
+            found.append((at, end))
+            if end == stop:
+                break
+            at = end + 1
+        return found if len(found) == parts else []
+
+    def trim(self, stop: int) -> int:
+        """The end of a word that ends at ``stop`` without marks behind it."""
+        if stop not in self.trimmed:
+            end = stop
+            while end and self.text[end - 1] in "-_":
+                end -= 1
+            self.trimmed[stop] = end
+        return self.trimmed[stop]
+
+    def total(self, part: Automaton, start: int, stop: int) -> float:
+        if not part.shortest <= stop - start <= part.longest:
+            return -math.inf
+        if not self.text.startswith(part.prefix, start, stop):
+            return -math.inf
+        total, state, passed = 0.0, 0, []
+        for at in range(start + len(part.prefix), stop):
+            if at % self.STEP == 0 and part.longest == math.inf:
+                key = (id(part), state, at, stop)
+                if key in self.futures:
+                    total += self.futures[key]
+                    break
+                passed.append((key, total))
+            chance, state = part.step(state, self.text[at])
+            total += chance
+            if total == -math.inf:
+                break
+        else:
+            total += part.end(state)
+        for key, before in passed:
+            self.futures[key] = total - before
+        return total
+
+    def reach(self, automaton: Automaton, at: int) -> tuple[float, int]:
+        """How far the score of what begins at ``at`` is above the least one, and where it ends."""
+        parts = [automaton, *automaton.rest]
+        words = self.words(at, len(parts))
+        if not words:
+            return -math.inf, at
+        total, symbols = 0.0, 0
+        for part, (start, stop) in zip(parts[:-1], words, strict=False):
+            total += self.total(part, start, stop)
+            if total == -math.inf:
+                return total, at
+            symbols += stop - start - len(part.prefix) + 1
+        last, (start, stop) = parts[-1], words[-1]
+        ends = [stop, self.trim(stop)]
+        if start + last.longest < stop and self.text[start + int(last.longest)] in "-_":
+            ends.append(start + int(last.longest))
+        for end in dict.fromkeys(ends):
+            score = total + self.total(last, start, end)
+            if score > -math.inf:
+                above = score / (symbols + end - start - len(last.prefix) + 1) - automaton.least
+                if above >= 0:
+                    return above, end
+        return -math.inf, at
 
 
 def added_spans(text: str, automata: dict[str, Automaton]) -> list[tuple[str, int, int]]:
@@ -319,20 +398,23 @@ def added_spans(text: str, automata: dict[str, Automaton]) -> list[tuple[str, in
         return found
     begins = re.compile(rf"(?<![A-Za-z0-9])(?:{'|'.join(map(re.escape, sorted(prefixes, reverse=True)))})")
     for m in _CANDIDATE.finditer(text):
-        behind = 0
+        run, behind = None, 0
         for begin in begins.finditer(m[0]):
             at = begin.start()
             if at < behind:
                 continue
-            # No automaton goes on over these.
-            word = re.match("[^/+]*", m[0][at:])[0]
-            best, length, kind = max(
-                ((*_reach(a, word), kind) for kind, a in automata.items() if word.startswith(a.prefix)),
+            run = run or _Run(m[0])
+            best, end, kind = max(
+                (
+                    (*run.reach(a, at), kind)
+                    for kind, a in automata.items()
+                    if m[0].startswith(a.prefix, at)
+                ),
                 default=(-1.0, 0, ""),
             )
             if best >= 0:
-                behind = at + length
-                found.append((kind, m.start() + at, m.start() + behind))
+                behind = end
+                found.append((kind, m.start() + at, m.start() + end))
     return found
 
 

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
+import time
 
 import pytest
 from helpers import documents
@@ -83,3 +86,27 @@ def test_empty_table_repeated_rows_and_extra_columns(spark, automata):
     got = secrets.scan_secrets(docs.union(docs), automata)
     assert got.count() == 2 and got.distinct().count() == 1 and "spans" in got.columns
     assert secrets.scan_secrets(documents(spark, []), automata).count() == 0
+
+
+def test_runs_scored_at_once_equal_every_begin_scored_alone():
+    """Likelihoods kept along a run change nothing: each part summed from its own begin."""
+    automata = secrets.learn_all(secrets.labelled_examples())
+    draw = random.Random(3)
+    pieces = ["eyJ", "eyJhbGci", "-", "_", "ghp_", "xoxb-", "12345678901", "aZ09", ".", "sk_live_"]
+    for _ in range(300):
+        run = secrets._Run("".join(draw.choices(pieces, k=40)))
+        for automaton in automata.values():
+            for part in (automaton, *automaton.rest):
+                for start in range(0, len(run.text), 3):
+                    word = run.text[start:]
+                    assert math.isclose(
+                        run.total(part, start, len(run.text)), part._total(word), abs_tol=1e-9
+                    )
+
+
+@pytest.mark.parametrize("unit", ["ghp_", "eyJ-", "eyJ.", "SG.", "sk_live_", "glpat-"])
+def test_prefixes_without_end_take_linear_time(unit):
+    automata = secrets.learn_all(secrets.labelled_examples())
+    started = time.monotonic()
+    secrets.added_spans(unit * 100_000 + ".a.b", automata)
+    assert time.monotonic() - started < 60
