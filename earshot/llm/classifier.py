@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm import text_arrays
+from earshot.llm.common import lean_rows
 from earshot.llm.quality_rules import STOP_WORDS
 
 MOST_LABELLED = 4000
@@ -256,10 +257,12 @@ def _features(docs: DataFrame) -> DataFrame:
     """(doc_id, text_view, meta_view) of documents."""
 
     @F.arrow_udf("array<double>")
+    @lean_rows
     def of_text(texts: pa.Array) -> pa.Array:
         return pa.array(list(text_features(texts)), pa.list_(pa.float64()))
 
     @F.arrow_udf("array<double>")
+    @lean_rows
     def of_meta(lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
         return pa.array(list(meta_features(lang, source, n_chars)), pa.list_(pa.float64()))
 
@@ -339,6 +342,7 @@ def score_documents(docs: DataFrame, model: CoTrained) -> DataFrame:
     """``docs`` with ``text_score``, ``meta_score`` and ``score`` (probability of being good)."""
 
     @F.arrow_udf("struct<text_score: double, meta_score: double, score: double>")
+    @lean_rows
     def scored(texts: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
         found = model.scores(text_features(texts), meta_features(lang, source, n_chars))
         return pa.StructArray.from_arrays(

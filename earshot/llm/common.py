@@ -62,3 +62,16 @@ def lean(task: Callable) -> Callable:
         return group(given) if isinstance(given, pa.Table) else batches(given)
 
     return either
+
+
+def lean_rows(rows: Callable) -> Callable:
+    """``rows``, a function of the columns of one batch, giving memory back behind each batch."""
+
+    @wraps(rows)
+    def batch(*columns):
+        try:
+            return rows(*columns)
+        finally:
+            give_back()
+
+    return batch

@@ -39,7 +39,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.llm import text_arrays
-from earshot.llm.common import lean
+from earshot.llm.common import lean, lean_rows
 from earshot.llm.components import connected_components
 from earshot.session import scratch_path
 
@@ -486,6 +486,7 @@ def verified(
                 )
 
     @F.arrow_udf("boolean")
+    @lean_rows
     def similar(left: pa.Array, right: pa.Array) -> pa.Array:
         out = []
         for x, y in zip(left, right, strict=True):

@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earshot.llm.common import lean_rows
+
 #: The most labelled credentials of a format that are learnt from.
 MOST_EXAMPLES = 400
 #: Confidence of the compatibility test.
@@ -456,6 +458,7 @@ def scan_secrets(
     """
 
     @F.pandas_udf(RESULT)
+    @lean_rows
     def scan(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for value in texts:
