@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from earshot.llm import text_arrays
 from earshot.llm.common import lean, lean_rows
 from earshot.llm.components import connected_components
-from earshot.session import scratch_path
+from earshot.session import SHUFFLE_CLEANUP, scratch_path, settings
 
 #: Words of a shingle, and the least similarity in percent.
 WORDS = 5
@@ -734,15 +734,15 @@ BATCH_ROWS = 1000
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``.
 
-    All that runs in Python is done when this returns, in batches of ``BATCH_ROWS`` rows.
+    All that runs in Python is done when this returns, in batches of ``BATCH_ROWS`` rows.  Each
+    of its many queries gives its shuffle files back when it ends, so the disk holds those of
+    one of them at a time, however rarely the driver collects its garbage.
     """
-    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(key)
-    conf.set(key, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
-    try:
+    spark, key = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(key))
+    rows = min(before, BATCH_ROWS) if before > 0 else BATCH_ROWS
+    with settings(spark, {key: str(rows), SHUFFLE_CLEANUP: "true"}):
         return _near_duplicates(docs, doc_id, text)
-    finally:
-        conf.set(key, before)
 
 
 def _near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -852,13 +852,14 @@ def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     """
     found = near_duplicates(docs, doc_id, text).select(F.col("doc_id").alias("id"), "component_id")
     path = scratch_path(docs.sparkSession, "suspects")
-    (
-        found.where("id IS NOT NULL")
-        .groupBy("id")
-        .agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
-        .where("n > 1 OR component_id <> id")
-        .write.parquet(path)
-    )
+    with settings(docs.sparkSession, {SHUFFLE_CLEANUP: "true"}):
+        (
+            found.where("id IS NOT NULL")
+            .groupBy("id")
+            .agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+            .where("n > 1 OR component_id <> id")
+            .write.parquet(path)
+        )
     suspects = docs.sparkSession.read.parquet(path)
     others = suspects.where("component_id <> id").select("id")
     names = docs.columns

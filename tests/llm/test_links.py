@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from earshot.llm import embedding_links, ngram_join
 from earshot.llm.components import connected_components
+from earshot.session import SHUFFLE_CLEANUP
 
 
 @pytest.mark.parametrize("shape", ["chain", "star", "random", "none"])
@@ -96,6 +99,27 @@ def test_ngram_join_of_awkward_rows(spark):
     assert ngram_join.near_duplicates(docs.limit(0)).count() == 0
 
 
+def shuffles_on_disk(spark):
+    """Numbers of the shuffles that have files in the session's local folders."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {int(n) for n in re.findall(r"shuffle_(\d+)_", manager.getAllFiles().mkString("\n"))}
+
+
+def test_ngram_join_leaves_no_shuffle_files(spark):
+    keys = "spark.sql.execution.arrow.maxRecordsPerBatch", SHUFFLE_CLEANUP
+    settings = [spark.conf.get(key, None) for key in keys]
+    docs = documents(spark, corpus(3)).repartition(3)
+    before = shuffles_on_disk(spark)
+    found = ngram_join.near_duplicates(docs)
+    until = time.time() + 20
+    while (left := shuffles_on_disk(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert [spark.conf.get(key, None) for key in keys] == settings
+    # A result that is read twice is the same both times, though its files went in between.
+    assert sorted(found.collect()) == sorted(found.collect())
+
+
 def test_packed_numbers_come_back():
     values = np.sort(np.random.default_rng(0).integers(0, 2**63, 500, dtype=np.uint64) * np.uint64(2))
     assert (ngram_join.unpack_sorted(ngram_join.pack_sorted(values)) == values).all()
