@@ -38,6 +38,8 @@ ROUNDS = 4
 CONFIDENT = 0.97
 #: ... and at most this share of the pool in one round.
 ROUND_SHARE = 0.1
+#: Bytes of text looked at together: a byte has some ten numbers of eight bytes in between.
+CHUNK_BYTES = 1 << 18
 #: Hash buckets of the languages and sources.
 BUCKETS = 32
 #: A document is rejected below this score, i.e. if it is far more likely bad than good: a clean
@@ -72,7 +74,7 @@ def text_features(column: pa.Array) -> np.ndarray:
     lines equal to an earlier one, and whether there is a word at all.
     """
     out = np.zeros((len(column), N_TEXT))
-    for texts in text_arrays.chunks(column):
+    for texts in text_arrays.chunks(column, CHUNK_BYTES):
         n, data = len(texts.starts), texts.data
         part = np.zeros((n, N_TEXT))
         if len(data):

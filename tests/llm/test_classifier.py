@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -56,6 +58,17 @@ def test_text_features_do_not_depend_on_chunks():
     assert classifier.text_features(pa.array(["Shti " * 40]))[0][-5] == pytest.approx(39 / 40)
 
 
+def test_features_of_many_texts_need_little_memory(monkeypatch):
+    texts = pa.array(["Some words\nof a line, and more.\n" * k for k in range(1, 400)])
+    tracemalloc.start()
+    found = classifier.text_features(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40e6
+    monkeypatch.setattr(classifier, "CHUNK_BYTES", 1 << 30)
+    assert (classifier.text_features(texts) == found).all()
+
+
 def test_awkward_rows(spark):
     rows = [(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "x " * 60_000, "xx", None, -5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
